@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DataType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 #: Bytes of a folded word: digits, a-z and every byte of a non-ASCII character. A-Z fold to a-z.
 FOLD = bytes((b + 32) if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -30,3 +35,40 @@ def fold_ascii(text: Column) -> Column:
     The Kelvin sign is the only such character; another letter stands in for it.
     """
     return F.lower(F.replace(text, F.lit("K"), F.lit("é")))
+
+
+def arrow_map(frame: DataFrame, schema: StructType, rows: Callable[[pa.RecordBatch], list]) -> DataFrame:
+    """``frame.mapInArrow`` for a function from a batch to a list of columns, one for each field.
+
+    Batches stream through; nothing is kept between them.
+    """
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                made = rows(batch)
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(made, arrow, strict=True)], schema=arrow)
+
+    return frame.mapInArrow(run, schema)
+
+
+def as_bytes(column: pa.Array) -> list[bytes | None]:
+    """UTF-8 bytes of a string column, without decoding it."""
+    return column.cast(pa.binary()).to_pylist()
+
+
+PLAIN = {"bigint": LongType(), "int": IntegerType(), "double": DoubleType(), "string": StringType(), "binary": BinaryType(), "boolean": BooleanType()}
+
+
+def kind(said: str) -> DataType:
+    """A type by its short name, without a session: plain ones, array<...> and struct<a: ..., ...> of plain ones."""
+    if said.startswith("array<"):
+        return ArrayType(kind(said[6:-1]))
+    if said.startswith("struct<"):
+        return StructType([StructField(n.strip(), kind(t.strip())) for n, t in (x.split(":") for x in said[7:-1].split(","))])
+    return PLAIN[said]
+
+
+def struct(*fields: tuple[str, str | DataType]) -> StructType:
+    return StructType([StructField(n, kind(t) if isinstance(t, str) else t) for n, t in fields])

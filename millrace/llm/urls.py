@@ -1,0 +1,115 @@
+"""URL filters: host and path rules, then logistic regression on hashed character n-grams."""
+
+from __future__ import annotations
+
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+from .common import arrow_map, struct
+
+#: Fixed values of the query contract: (host, path prefix) and what they say.
+RULES = {("net", "/"): "block", ("example.net", "/en/"): "allow", ("example.com", "/de/"): "block", ("org", "/fr/"): "allow"}
+
+#: A small labelled table: host labels that mark pages to block (1) and to allow (0).
+BLOCKED = "spam-farm casino-win free-bets ads-track cheap-pills click-win adult-chat lucky-slots win-prize bet-now seo-links payday-cash spam-links casino-bonus track-ads free-casino hot-bets pills-store".split()
+ALLOWED = "blog news wiki docs archive library journal museum school weather garden recipes science history theron therin ththat tionble tiontion ththre thering ththan".split()
+TAILS = ("example.com", "example.org", "m.example.com", "www.example.org")
+PATHS = ("/en/12.html", "/fr/7", "/de/3/", "/es/44")
+
+SPLIT = re.compile(r"(?s).*?://([^/?#]*)([^?#]*)")
+LOWER = {c: c + 32 for c in range(65, 91)}
+BITS = 16
+SIZES = (3, 4, 5)
+
+
+def labelled_urls() -> list[tuple[str, int]]:
+    """(url, 1 to block) of the built-in table: each name on every tail, with a path by turns."""
+    names = [(n, 1) for n in BLOCKED] + [(n, 0) for n in ALLOWED]
+    return [(f"https://{n}.{tail}{PATHS[(i + j) % len(PATHS)]}", y) for i, (n, y) in enumerate(names) for j, tail in enumerate(TAILS)]
+
+
+def split(url: str | None) -> tuple[str, str]:
+    m = SPLIT.match(url or "")
+    return (m[1].translate(LOWER), m[2]) if m else ("", "")
+
+
+def matching(host: str, path: str, rules: dict[tuple[str, str], str]) -> tuple[str, str] | None:
+    """The longest rule that fits: looked up by each parent of the host, so that rules may be many."""
+    best = None
+    by_host = _by_host(rules)
+    labels = host.split(".")
+    for k in range(len(labels)):
+        parent = ".".join(labels[k:])
+        for prefix in by_host.get(parent, ()):
+            if path.startswith(prefix) and (best is None or (len(parent + prefix), parent) > (len("".join(best)), best[0])):
+                best = (parent, prefix)
+    return best
+
+
+_HOSTS: dict[int, tuple[dict, dict[str, list[str]]]] = {}
+
+
+def _by_host(rules: dict[tuple[str, str], str]) -> dict[str, list[str]]:
+    if _HOSTS.get(0, (None,))[0] is not rules:
+        table: dict[str, list[str]] = {}
+        for host, prefix in rules:
+            table.setdefault(host, []).append(prefix)
+        _HOSTS[0] = (rules, table)
+    return _HOSTS[0][1]
+
+
+def features(host: str, path: str) -> np.ndarray:
+    """Distinct buckets of the character n-grams of host and path, each marked as what it is of."""
+    out = set()
+    for mark, part in (("h", f"^{host}$"), ("p", f"^{path}$")):
+        for n in SIZES:
+            out.update(zlib.crc32(f"{mark}{part[i : i + n]}".encode("utf-8", "surrogatepass")) & ((1 << BITS) - 1) for i in range(max(0, len(part) - n + 1)))
+    return np.fromiter(sorted(out), np.int64, len(out))
+
+
+def train(table: list[tuple[str, int]] | None = None, rounds: int = 300, rate: float = 0.5, ridge: float = 1e-4) -> np.ndarray:
+    """Weights, the bias last, by plain gradient descent; the same for the same table."""
+    table = table or labelled_urls()
+    rows = [(features(*split(url)), y) for url, y in table]
+    index = np.concatenate([x for x, _ in rows])
+    of = np.repeat(np.arange(len(rows)), [len(x) for x, _ in rows])
+    unit = 1 / np.sqrt(np.maximum(1, np.bincount(of, minlength=len(rows))))
+    y = np.array([float(v) for _, v in rows])
+    w = np.zeros((1 << BITS) + 1)
+    for _ in range(rounds):
+        z = np.bincount(of, w[index], len(rows)) * unit + w[-1]
+        error = (1 / (1 + np.exp(-z)) - y) / len(rows)
+        w[:-1] -= rate * len(rows) ** 0.5 * (np.bincount(index, (error * unit)[of], 1 << BITS) + ridge * w[:-1])
+        w[-1] -= rate * error.sum()
+    return w
+
+
+def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: dict[tuple[str, str], str] = RULES, table: list[tuple[str, int]] | None = None) -> DataFrame:
+    """One row per input row: id, host, path, rule, verdict, score.
+
+    ``score`` is the model's probability that the url is to be blocked; a rule overrules it.
+    A null url or one without ``://`` has an empty host and path, and no rule fits it. The
+    labelled ``table`` is small: it is held by the driver and only the weights are sent.
+    """
+    schema = struct((id_col, pages.schema[id_col].dataType), ("host", "string"), ("path", "string"), ("rule", "string"), ("verdict", "string"), ("score", "double"))
+    sent = pages.sparkSession.sparkContext.broadcast((train(table), rules))
+
+    def rows(batch: pa.RecordBatch) -> list:
+        weights, known = sent.value
+        hosts, paths, fits, verdicts, scores = [], [], [], [], []
+        for url in batch.column(1).to_pylist():
+            host, path = split(url)
+            rule = matching(host, path, known)
+            x = features(host, path)
+            z = weights[x].sum() / max(1, len(x)) ** 0.5 + weights[-1]
+            p = float(1 / (1 + np.exp(-z)))
+            hosts.append(host), paths.append(path), scores.append(p)
+            fits.append("".join(rule) if rule else None)
+            verdicts.append(known[rule] if rule else "block" if p >= 0.5 else "allow")
+        return [batch.column(0), hosts, paths, fits, verdicts, scores]
+
+    return arrow_map(pages.select(id_col, url_col), schema, rows)
