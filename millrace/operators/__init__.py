@@ -1,0 +1 @@
+"""Relational and graph operators."""
