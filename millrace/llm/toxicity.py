@@ -86,7 +86,7 @@ def segments(words: list[bytes], scores: Scores, background: float) -> list[tupl
 
 def evidence(found: list[tuple[int, int, float]], n: int, scale: float, frequency: float) -> float:
     """The greatest excess of the r best segments over what chance makes in n words, over all r."""
-    chance = math.log(frequency * max(n, 1))
+    chance = math.log1p(frequency * n)
     best, total = -chance, 0.0
     for r, score in enumerate(sorted((x[2] for x in found), reverse=True), 1):
         total += scale * score - chance
@@ -123,12 +123,13 @@ def _odds(sample: DataFrame, tokens: Callable[[set[bytes]], set[str]], share: fl
     return counted.withColumn("odds", odds).withColumn("z", odds / F.sqrt(1 / y_t + 1 / y_c))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = 20_000, share: float = 0.05, significant: float = 4.0, frequent: int = 20, tokens: int = 50_000, background: float = -0.1) -> Model:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = 20_000, share: float = 0.05, significant: float = 4.0, effect: float = 1.6, frequent: int = 20, tokens: int = 50_000, background: float = -0.1) -> Model:
     """Fit on ``rows`` labelled rows at most, chosen by a hash of the id, near copies once.
 
     Counts are documents that hold a token. Of words, significant ones and ``frequent`` ones,
     and of beginnings significant ones, the model keeps ``tokens`` at most each, so that its
-    size has a bound. Rows without an id or label teach nothing; of several labels of one
+    size has a bound. Significant are log-odds of at least ``effect`` and so many standard
+    errors: toxic texts are to be found, not clean ones. Rows without an id or label teach nothing; of several labels of one
     document the largest counts.
     """
     chosen = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).dropna().groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(rows)
@@ -137,15 +138,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     first = keyed.groupBy("sketch").agg(F.min("id").alias("id"))
     sample = durable(keyed.join(first, ["sketch", "id"]).select("y", "text"))
 
-    by_word = durable(_odds(sample, lambda words: {w.decode() for w in words}, share).filter((F.col("t") + F.col("c") >= frequent) | (F.col("z") >= significant)))
+    telling = (F.col("z") >= significant) & (F.col("odds") >= effect)
+    by_word = durable(_odds(sample, lambda words: {w.decode() for w in words}, share).filter((F.col("t") + F.col("c") >= frequent) | telling).withColumn("telling", telling))
     kept = by_word.orderBy((F.col("t") + F.col("c")).desc(), "token").limit(tokens).collect()
-    words = {r["token"]: float(r["odds"]) if abs(r["z"]) >= significant else None for r in kept}
+    words = {r["token"]: float(r["odds"]) if r["telling"] else None for r in kept}
 
     def starts(seen: set[bytes]) -> set[str]:
         rare = [w for w in (x.decode() for x in seen) if w not in words]
         return {w[:k] for w in rare for k in BEGINNINGS if len(w) >= k}
 
-    begun = _odds(sample, starts, share).filter(F.abs("z") >= significant).orderBy(F.abs("z").desc(), "token").limit(tokens).collect()
+    begun = _odds(sample, starts, share).filter(telling).orderBy(F.col("z").desc(), "token").limit(tokens).collect()
     beginnings = {r["token"]: float(r["odds"]) for r in begun}
     clean_docs = sample.filter("y <= 0").count()
     if not clean_docs or clean_docs == sample.count():
