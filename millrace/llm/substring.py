@@ -267,12 +267,18 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _, values, flags = _sieve(_Shard(table, window))
         return _tabled(_pieces(table.column("shard")[0].as_py(), values, None, None, flags, buckets), BLOB)
 
-    def index(table: pa.Table, asked: pa.Table | None = None) -> pa.Table:
+    def indexed(table: pa.Table, answers: dict | None) -> pa.Table:
         if not table.num_rows:
             return _tabled([], BLOB)
-        _, _, first, second, least = _entries(_Shard(table, window), _asked(asked) if sieved else None, buckets)
+        _, _, first, second, least = _entries(_Shard(table, window), answers, buckets)
         return _tabled(_pieces(table.column("shard")[0].as_py(), first, second, least, None, buckets), BLOB)
 
+    def index(table: pa.Table) -> pa.Table:
+        return indexed(table, None)
+
+    def index_sieved(table: pa.Table, asked: pa.Table) -> pa.Table:
+        return indexed(table, _asked(asked))
+
     schema = struct(("id", "bigint"), ("n_words", "bigint"), ("n_removed", "bigint"), ("kept_text", "string"), ("spans", "array<struct<start: bigint, end: bigint>>"))
 
     def strip(table: pa.Table, asked: pa.Table) -> pa.Table:
@@ -281,7 +287,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     told = None
     if sieved:
         told = dealt.groupBy("shard").applyInArrow(sieve, BLOB).groupBy("bucket").applyInArrow(_merge_sieve, ANSWER)
-        runs = dealt.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(index, BLOB)
+        runs = dealt.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(index_sieved, BLOB)
     else:
         runs = dealt.groupBy("shard").applyInArrow(index, BLOB).unionAll(history.select(*BLOB.names))
     answers = runs.groupBy("bucket").applyInArrow(_merge_windows, ANSWER)

@@ -1,0 +1,205 @@
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import language, license_scan, pii, sentencepieces, toxicity, urls
+
+from .helpers import SCHEMA, corpus, passage, plain, table
+
+
+def test_license_scan_is_brute_force(spark):
+    texts = ["", None, "Licensed under CC BY-NC 4.0. All rights reserved.", "all all rights reserved all rights reserved", "GNU General Public License, version 3.", "cc-by cc by cc", "Licensed under the Apache License, Version 2.0.", "\u212aeep general PUBLIC license", "éGeneral public license", "x " * 3000 + "all rights reserved"]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    table_ = license_scan.index()
+    assert all(0 < weight < 1 and rare for _, _, weight, rare in table_)
+    want = []
+    for i, t, *_ in rows:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
+        at = {p: [k for k in range(len(words)) if words[k : k + len(p.split())] == p.split()] for p in license_scan.TEMPLATES}
+        base = sorted(k for p in license_scan.BASE for k in at[p])
+        named = lambda ps: ",".join(sorted({license_scan.TEMPLATES[p] for p in ps if at[p]}))  # noqa: B023, E731
+        score = max([0.0, *(w for p, _, w, _ in table_ if at[p])])
+        want.append((i, len(words), len(base), min(base, default=None), max(base, default=None), named(license_scan.BASE), named(at), score))
+    got = license_scan.license_scan(spark.createDataFrame(rows, SCHEMA)).drop("places")
+    assert plain(got.collect()) == plain(want)
+    assert license_scan.license_scan(table(spark, [])).count() == 0
+
+
+def base_spans(text):
+    out = []
+    for kind, pattern in (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")):
+        for m in re.finditer(pattern, text):
+            digits = re.sub(r"[^0-9]", "", m[0])
+            good = True
+            if kind == "ip":
+                good = all(int(x) <= 255 for x in m[0].split("."))
+            if kind == "card":
+                doubled = [int(c) * (1 + k % 2) for k, c in enumerate(digits[::-1])]
+                good = 12 <= len(digits) <= 19 and sum(x - 9 * (x > 9) for x in doubled) % 10 == 0
+            if kind == "phone":
+                good = 9 <= len(digits) <= 15
+            if good:
+                out.append((m.start(), ("email", "ip", "card", "phone").index(kind), kind, m.end()))
+    return sorted(out)
+
+
+def test_pii_base_is_the_plain_patterns():
+    random.seed(1)
+    parts = ["a", ".b", "@", "@x", "-", " ", "1", "23", "4.5", ".", "255.", "+4", "(", ")", "%", "4111 1111 1111 1111", "é", "\n", "@a.b", "user@mail.example.com", "192.168.0.1", "+1 (555) 123-4567", "0004", "😀"]
+    for _ in range(3000):
+        t = "".join(random.choice(parts) for _ in range(random.randint(0, 14)))
+        got = [(s, k, pii.KINDS[k], e) for k, s, e, *_ in pii.find(t) if k < pii.BASE_KINDS]
+        assert got == base_spans(t), t
+
+
+def test_pii_adds_checked_spans_and_stays_linear(spark):
+    t = "Pay to IBAN GB82 WEST 1234 5698 7654 32 or GB82 WEST 1234 5698 7654 33; ssn 123-45-6789, part 123-45-6789" + " " * 60 + "987-65-4321"
+    kinds = [pii.KINDS[k] for k, *_ in pii.find(t)]
+    assert kinds.count("iban") == 1 and kinds.count("ssn") >= 1
+    assert pii.find("a" * 300_000) == [] and pii.find("9" * 300_000) == [] and pii.find(("." * 9 + "@") * 30_000) == []
+    rows = [(1, "mail a@b.c", None, None, None), (2, None, None, None, None), (None, "", None, None, None)]
+    got = pii.digest(pii.find_pii(spark.createDataFrame(rows, SCHEMA)))
+    assert {r.doc_id: (r.n_email, r.spans) for r in got.collect()} == {1: (1, "email:5:10"), 2: (0, ""), None: (0, "")}
+
+
+def test_url_rules_and_model(spark):
+    cases = {
+        "http://a.net/x": ("a.net", "/x", "net/", "block"),
+        "https://EXAMPLE.net/en/1?q=://": ("example.net", "/en/1", "example.net/en/", "allow"),
+        "http://a.b.example.net/fr/": ("a.b.example.net", "/fr/", "net/", "block"),
+        "http://notexample.com/de/": ("notexample.com", "/de/", None, None),
+        "http://x.example.com/de/?a": ("x.example.com", "/de/", "example.com/de/", "block"),
+        "ftp://q.org/fr/#t": ("q.org", "/fr/", "org/fr/", "allow"),
+        "http://a.net": ("a.net", "", None, None),
+        "http://a.net?x": ("a.net", "", None, None),
+        "no scheme": ("", "", None, None),
+        "": ("", "", None, None),
+        "\n://h/p": ("h", "/p", None, None),
+        "https://m.casino-win.example.com/en/4": ("m.casino-win.example.com", "/en/4", None, "block"),
+        "https://blog.tionsh.example.com/en/4": ("blog.tionsh.example.com", "/en/4", None, "allow"),
+    }
+    rows = [(i, u) for i, u in enumerate(cases)] + [(99, None), (None, "http://a.net/")]
+    got = {r.page_id: r for r in urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    for i, (host, path, rule, verdict) in enumerate(cases.values()):
+        assert (got[i].host, got[i].path, got[i].rule) == (host, path, rule)
+        assert got[i].verdict in ("allow", "block") if verdict is None else got[i].verdict == verdict
+    assert (got[99].host, got[99].path, got[99].rule) == ("", "", None) and got[None].verdict == "block"
+    assert np.array_equal(urls.train(), urls.train())
+
+
+def maximal(scores):
+    """Ruzzo and Tompa's definition, by recursion: the best run, then what is left and right of it."""
+    best = None
+    for a in range(len(scores)):
+        for b in range(a + 1, len(scores) + 1):
+            s = sum(scores[a:b])
+            if s > 1e-9 and (best is None or s > best[2] + 1e-9 or (abs(s - best[2]) <= 1e-9 and b - a < best[1] - best[0])):
+                best = (a, b, s)
+    if best is None:
+        return []
+    a, b, s = best
+    return maximal(scores[:a]) + [(a, b, s)] + [(x + b, y + b, z) for x, y, z in maximal(scores[b:])]
+
+
+def test_segments_are_the_maximal_ones():
+    random.seed(2)
+    for _ in range(300):
+        words = [random.choice([b"good", b"bad", b"worse", b"odd"]) for _ in range(random.randint(0, 12))]
+        known = toxicity.Scores({"bad": 1.37, "worse": 2.91, "odd": -0.73, "good": None}, {})
+        got = toxicity.segments(words, known, -0.511)
+        want = maximal([{b"bad": 1.37, b"worse": 2.91, b"odd": -0.73}.get(w, -0.511) for w in words])
+        assert [(a, b, round(s, 6)) for a, b, s in got] == [(a, b, round(s, 6)) for a, b, s in want], words
+
+
+def test_toxicity_learns_words_and_beginnings(spark):
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(500):
+        words = passage(i, rng.randint(5, 60)).split()
+        toxic = i % 5 == 0
+        for _ in range(3 if toxic else 0):
+            words.insert(rng.randrange(len(words)), rng.choice(["vileword", f"nast{rng.randrange(10**6)}"]))
+        rows.append((i, " ".join(words), None, None, None))
+        labels.append((i, int(toxic)))
+    rows += [(9001, None, None, None, None), (9002, "", None, None, None), (None, "vileword", None, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    known = spark.createDataFrame([x for x in labels if x[0] % 3], "doc_id long, toxic int")
+    model = toxicity.train(docs, known)
+    got = {r.doc_id: r for r in toxicity.judge(docs, model).collect()}
+    held = [(got[i].predicted, y) for i, y in labels if i % 3 == 0]
+    assert sum(p == y for p, y in held) / len(held) > 0.97
+    assert got[9001].predicted == got[9002].predicted == 0 and 0 <= got[9001].score <= 1 and got[None].passages
+    empty = toxicity.train(docs, known.limit(0))
+    assert {r.predicted for r in toxicity.judge(docs, empty).collect()} == {0}
+
+
+def test_language_shares_and_held_out(spark):
+    said = {"aa": "ba bo bu bam bol".split(), "kk": "ki ke kik kel kem".split(), "éé": "été dèr çal ûne".split()}
+    rng = random.Random(8)
+    say = lambda k, n: " ".join("".join(rng.choice(said[k]) for _ in range(rng.randint(1, 3))) for _ in range(n))
+    rows = [(i, say(k, 30).capitalize(), k, None, None) for i, k in enumerate(list(said) * 60)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = language.train(docs.filter("doc_id % 4 <> 2"), rows_per_language=40)
+    got = {r.doc_id: r for r in language.identify(docs, model).collect()}
+    assert all(got[i].lang_pred == k for i, _, k, *_ in rows)
+    odd = spark.createDataFrame([(1, None, "x", None, None), (2, "123 ...", "x", None, None), (3, "", None, None, None), (4, say("aa", 60) + " " + say("kk", 30), None, None, None), (None, say("éé", 9), None, None, None)], SCHEMA)
+    told = {r.doc_id: r for r in language.identify(odd, model).collect()}
+    assert [told[i].lang_pred for i in (1, 2, 3)] == ["und"] * 3 and told[None].lang_pred == "éé"
+    assert [x.lang for x in told[4].languages] == ["aa", "kk"] and abs(told[4].score - 2 / 3) < 0.1
+    nothing = language.train(docs.limit(0))
+    assert {r.lang_pred for r in language.identify(docs, nothing).collect()} == {"und"}
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    with open(sentencepieces.MODEL_PATH, "rb") as f:
+        return sentencepieces.Tokenizer(f.read())
+
+
+def library(tokenizer, text):
+    return np.array(tokenizer.sp.encode(text), "<i4").tobytes()
+
+
+def test_encoding_equals_the_library(tokenizer):
+    rng = random.Random(6)
+    bits = ["the", "ing", "tion", "a", "aa", "....", "=", "==", "é", "日本", "\n", "  ", "▁", "\x01", "http", "://", "ExecutionContext", "😀", "\x00", "00"]
+    for n in range(150):
+        t = "".join(rng.choice(bits) for _ in range(rng.randint(1, 60)))
+        t = t.replace(" ", "").replace("▁", "") if n % 2 else t
+        want = library(tokenizer, t)
+        assert tokenizer.encode(t) == want
+        assert tokenizer.decode(want) == tokenizer.sp.decode(np.frombuffer(want, "<i4").tolist())
+        for size in (16, 23) if t else ():
+            chunks = tokenizer.chunks(t, size)
+            ways = [tokenizer.transfer(c, m, a, b, k == 0) for k, (c, m, a, b) in enumerate(chunks)]
+            steps = sentencepieces.path(ways, tokenizer.goes)
+            assert b"".join(tokenizer.between(c, i, m + j, k == 0, len(a) == 1) for k, ((c, m, a, _), (i, j)) in enumerate(zip(chunks, steps, strict=True))) == want
+
+
+def test_maxplus_products_associate():
+    rng = np.random.default_rng(0)
+    a, b, c = (np.where(rng.random((4, 4)) < 0.4, -np.inf, rng.random((4, 4))) for _ in range(3))
+    left, right = sentencepieces.times(sentencepieces.times(a, b), c), sentencepieces.times(a, sentencepieces.times(b, c))
+    assert np.allclose(left[np.isfinite(left)], right[np.isfinite(right)])
+    many = [a, b, c, b, a]
+    for k, p in enumerate(sentencepieces.prefixes(many)):
+        whole = many[0]
+        for m in many[1 : k + 1]:
+            whole = sentencepieces.times(whole, m)
+        assert np.allclose(p[np.isfinite(p)], whole[np.isfinite(whole)])
+
+
+def test_round_trip_of_short_and_giant_texts(spark, tokenizer):
+    rows = [*corpus(), (7777, "x" * 700 + "é" * 90, None, None, None), (7778, "ab " * 400, None, None, None)]
+    got = sentencepieces.encode(table(spark, rows), chunk_chars=200).collect()
+    want = [(i, library(tokenizer, t) if t else b"") for i, t, *_ in rows]
+    assert plain((r.doc_id, bytes(r.token_ids)) for r in got) == plain(want)
+    assert any(r.n_chunks > 30 for r in got)
+    assert all(r.same for r in sentencepieces.round_trip(table(spark, rows), chunk_chars=200).collect())
+    assert sentencepieces.round_trip(table(spark, [])).count() == 0
+    assert sentencepieces.encode(table(spark).withColumn("row", F.lit("clash"))).count() == len(corpus())
