@@ -129,7 +129,7 @@ def before_cycles(relations: DataFrame, most: int = 10) -> DataFrame:
     """(video_id, cycle): cycles of the BEFORE graph, ``most`` a video at most, by depth-first search."""
 
     def told(pdf: pd.DataFrame, found: list[list[str]]) -> pd.DataFrame:
-        return pd.DataFrame({"video_id": [pdf.video_id.iloc[0]] * len(found), "cycle": pd.Series(found, dtype=object)})
+        return pd.DataFrame({"video_id": [pdf.video_id.iloc[0]] * len(found), "cycle": pd.Series(["\x1f".join(c) for c in found], dtype=object)})
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         graph: dict[str, list[str]] = {}
@@ -159,7 +159,7 @@ def before_cycles(relations: DataFrame, most: int = 10) -> DataFrame:
 
     kind = relations.schema["video_id"].dataType.simpleString()
     edges = relations.filter(F.col("relation") == "BEFORE").select("video_id", F.col("event_a").cast("string").alias("event_a"), F.col("event_b").cast("string").alias("event_b")).distinct()
-    return edges.groupBy("video_id").applyInPandas(search, f"video_id {kind}, cycle array<string>")
+    return edges.groupBy("video_id").applyInPandas(search, f"video_id {kind}, cycle string").withColumn("cycle", F.split("cycle", "\x1f"))
 
 
 def continuity(scenes: DataFrame, tolerance: float = 0.5, key: str = "video_id") -> DataFrame:
@@ -229,7 +229,7 @@ def bounded_runs(scenes: DataFrame, key: str = "video_id", gap: float = 0.5, lon
                 close()
             run.append((scene, float(s), float(e)))
         close()
-        return pd.DataFrame(out, columns=[key, "run", "scene_ids", "start_time", "end_time", "n"]).astype({"scene_ids": object})
+        return pd.DataFrame(out, columns=[key, "run", "scene_ids", "start_time", "end_time", "n"])
 
     chosen = scenes.select(key, "scene_id", "start_time", "end_time", *(["compatible"] if has_flag else []))
     return chosen.groupBy(key).applyInPandas(scan, f"{key} {kind}, run long, scene_ids array<string>, start_time double, end_time double, n long")
