@@ -129,7 +129,7 @@ def before_cycles(relations: DataFrame, most: int = 10) -> DataFrame:
     """(video_id, cycle): cycles of the BEFORE graph, ``most`` a video at most, by depth-first search."""
 
     def told(pdf: pd.DataFrame, found: list[list[str]]) -> pd.DataFrame:
-        return pd.DataFrame({"video_id": [pdf.video_id.iloc[0]] * len(found), "cycle": pd.Series(["\x1f".join(c) for c in found], dtype=object)})
+        return pd.DataFrame([(pdf.video_id.iloc[0], "\x1f".join(c)) for c in found], columns=["video_id", "cycle"], dtype=object)
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         graph: dict[str, list[str]] = {}
