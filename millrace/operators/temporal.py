@@ -7,11 +7,15 @@ buckets first, so that one very long video is spread over many tasks.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..functions import ids, interval
 
@@ -207,32 +211,47 @@ def bounded_runs(scenes: DataFrame, key: str = "video_id", gap: float = 0.5, lon
     """(key, run, scene_ids, start_time, end_time, n): maximal runs of contiguous scenes, broken where a run
     would grow too long or too many. A flag column ``compatible`` (with the previous scene) is honoured.
 
-    The reset on length makes a run depend on where the last one ended, so a video is scanned in
-    order by one task. A video's scenes are few beside its other records.
+    The reset on length makes a run depend on where the last one ended, so that a video is
+    scanned in order; the scan streams over sorted partitions and holds one run at a time.
     """
     has_flag = "compatible" in scenes.columns
     kind = scenes.schema[key].dataType.simpleString()
+    schema = StructType.fromDDL(f"{key} {kind}, run long, scene_ids array<string>, start_time double, end_time double, n long")
+    arrow = to_arrow_schema(schema)
 
-    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         run: list[tuple] = []
+        video, count = None, 0
 
         def close() -> None:
+            nonlocal count
             if len(run) >= least and run[-1][2] - run[0][1] >= shortest:
-                out.append((pdf[key].iloc[0], len(out) + 1, [r[0] for r in run], run[0][1], run[-1][2], len(run)))
+                count += 1
+                out.append((video, count, [r[0] for r in run], run[0][1], run[-1][2], len(run)))
             run.clear()
 
-        rows = pdf.sort_values(["start_time", "scene_id"])
-        flags = rows["compatible"].fillna(False) if has_flag else [True] * len(rows)
-        for scene, s, e, fits in zip(rows.scene_id.astype(str), rows.start_time, rows.end_time, flags, strict=True):
-            if run and not (fits and abs(s - run[-1][2]) <= gap and e - run[0][1] <= longest and len(run) < most):
-                close()
-            run.append((scene, float(s), float(e)))
+        def made() -> pa.RecordBatch:
+            columns = list(zip(*out, strict=True)) or [()] * len(arrow)
+            batch = pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+            out.clear()
+            return batch
+
+        for batch in batches:
+            for name, scene, s, e, fits in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
+                if name != video:
+                    close()
+                    video, count = name, 0
+                elif run and not (fits and abs(s - run[-1][2]) <= gap and e - run[0][1] <= longest and len(run) < most):
+                    close()
+                run.append((scene, s, e))
+            yield made()
         close()
-        return pd.DataFrame(out, columns=[key, "run", "scene_ids", "start_time", "end_time", "n"])
+        yield made()
 
-    chosen = scenes.select(key, "scene_id", "start_time", "end_time", *(["compatible"] if has_flag else []))
-    return chosen.groupBy(key).applyInPandas(scan, f"{key} {kind}, run long, scene_ids array<string>, start_time double, end_time double, n long")
+    flag = F.coalesce("compatible", F.lit(False)) if has_flag else F.lit(True)
+    chosen = scenes.select(key, F.col("scene_id").cast("string").alias("scene"), F.col("start_time").cast("double").alias("s"), F.col("end_time").cast("double").alias("e"), flag.alias("fits"))
+    return chosen.repartition(key).sortWithinPartitions(key, "s", "scene").mapInArrow(scan, schema)
 
 
 def split_long(scenes: DataFrame, longest: float) -> DataFrame:
