@@ -9,9 +9,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def dhash(pixels: pd.Series) -> pd.Series:
     """Of 72 grey values, 8 rows of 9: 16 hex digits that say where brightness rises to the right."""
 
@@ -24,12 +25,12 @@ def dhash(pixels: pd.Series) -> pd.Series:
     return pixels.map(one, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     return text.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Twice the matched characters by all characters; null with null."""
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")

@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import ids, interval, text
+from ..functions import captions, ids, interval, text
 from ..functions.reasons import reasons
-from ..operators import agreement, curation, dedup, graph, policy, release, stats, temporal
+from ..operators import agreement, curation, dedup, graph, ocr, policy, questions, release, stats, temporal
+from .. import schema
 from ..runtime import read, tune
 from ..streaming import incremental
 from .views import SCENES, TIMELINE, norm_sql, scenes, timeline
@@ -464,3 +465,64 @@ def annotate_pipeline(spark, sf_dir):
     status = F.when(F.col("canonical") != F.col("doc_id"), F.lit("duplicate")).otherwise(policy.threshold_status(size.cast("double"), 400.0, 100.0))
     tier = curation.tier(F.col("status"), F.when(size >= 1500, F.lit(0.7)).otherwise(0.0), F.lit(None).cast("double"), F.lit(None).cast("string"), F.array().cast("array<string>"))["tier"]
     return told.withColumn("status", status).withColumn("tier", F.coalesce(tier, F.lit("none"))).groupBy("split", "lang", "status", "tier").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+
+
+@query(r"WITH d AS (SELECT doc_id, lower(trim(text, ' ')) AS t FROM documents), w AS (SELECT doc_id, t, regexp_split_to_array(t, '\s+') AS w FROM d) SELECT doc_id, array_to_string(list_filter([CASE WHEN t = '' THEN 'empty' END, CASE WHEN t <> '' AND length(t) < 12 THEN 'too_short' END, CASE WHEN length(t) > 1200 THEN 'too_long' END, CASE WHEN t IN ('unknown', 'unmeasured', 'n/a', 'null', 'none') THEN 'placeholder' END, CASE WHEN regexp_matches(t, '[{}<>]|```|\bas an ai\b') THEN 'residue' END, CASE WHEN len(w) >= 6 AND len(list_distinct(w)) * 2 < len(w) THEN 'repetitive' END], lambda x: x IS NOT NULL), ',') AS faults FROM w")
+def caption_faults(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select("doc_id", F.array_join(captions.caption_faults(F.col("text")), ",").alias("faults"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, array_to_string(list_filter([CASE WHEN l_quantity < 10 THEN 'blurry' END, CASE WHEN l_discount > 0.08 THEN 'underexposed' END, CASE WHEN l_tax > 0.07 THEN 'overexposed' END], lambda x: x IS NOT NULL), ',') AS flags FROM lineitem")
+def visual_flags(spark, sf_dir):
+    flags = captions.quality_flags(F.col("l_quantity"), F.col("l_discount"), F.col("l_tax"), F.lit(None).cast("double"), min_sharpness=10, max_dark=0.08, max_bright=0.07)
+    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.array_join(flags, ",").alias("flags"))
+
+
+@query(f"WITH {TIMELINE}, r AS (SELECT video_id, event_id, row_number() OVER (PARTITION BY video_id ORDER BY start_time) - 1 AS rn, count(*) OVER (PARTITION BY video_id) AS n FROM timeline) SELECT video_id, event_id FROM r WHERE n <= 5 OR list_contains(list_transform(range(5), lambda i: round_even(i * (n - 1) / 4, 0)::BIGINT), rn)")
+def evenly_spaced(spark, sf_dir):
+    return temporal.evenly_spaced(timeline(spark, sf_dir), 5, order="start_time").select("video_id", "event_id")
+
+
+@query("WITH n AS (SELECT *, lag(value) OVER w AS l, lead(value) OVER w AS r FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)) SELECT user_id, event_id, value FROM n WHERE value > 50 AND value > coalesce(l, -1) AND value >= coalesce(r, -1)")
+def motion_peaks(spark, sf_dir):
+    return temporal.motion_peaks(read(spark, sf_dir, "events"), "value", 50.0, "user_id", "ts").select("user_id", "event_id", "value")
+
+
+@query(f"WITH {TIMELINE}, q AS (SELECT video_id, event_type, start_time, end_time FROM timeline WHERE end_time - start_time >= 1) SELECT video_id, 'Approximately how long does the following last: ' || event_type || '?' AS question, count(*) AS n FROM q GROUP BY ALL")
+def duration_questions(spark, sf_dir):
+    return questions.durations(timeline(spark, sf_dir), "event_type").groupBy("video_id", "question").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query()
+def question_generation(spark, sf_dir):
+    return questions.generate(timeline(spark, sf_dir), "event_type", per_type=5).withColumn("event_ids", F.array_join("event_ids", ","))
+
+
+@query()
+def answer_recompute(spark, sf_dir):
+    events = timeline(spark, sf_dir)
+    return questions.recompute(questions.generate(events, "event_type"), events).groupBy("type", "recomputed").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT page_id, CASE WHEN NOT regexp_matches(lower(url), '^https?://') THEN 'invalid' WHEN regexp_matches(url, '[?&]v=') THEN 'video' WHEN regexp_matches(url, '[?&]list=') THEN 'playlist' ELSE 'other' END AS kind FROM pages")
+def url_kinds(spark, sf_dir):
+    return read(spark, sf_dir, "pages").select("page_id", captions.url_kind(F.col("url")).alias("kind"))
+
+
+@query(f"WITH {TIMELINE}, m AS (SELECT *, lag(start_time) OVER (PARTITION BY video_id, event_type ORDER BY start_time) AS p FROM timeline), g AS (SELECT *, sum(CASE WHEN p IS NULL OR start_time > p + 30000 THEN 1 ELSE 0 END) OVER (PARTITION BY video_id, event_type ORDER BY start_time ROWS UNBOUNDED PRECEDING) AS i FROM m) SELECT video_id, event_type AS text, min(start_time) AS start_time, max(start_time) AS end_time, count(*) AS n FROM g GROUP BY video_id, event_type, i")
+def text_tracks(spark, sf_dir):
+    return ocr.tracks(timeline(spark, sf_dir).select("video_id", F.col("event_type").alias("text"), F.col("start_time").alias("t")), 30000.0)
+
+
+@query("SELECT c_custkey::VARCHAR AS record_id, c_acctbal AS start_time, '2.3.0' AS schema_version, c_mktsegment AS segment FROM customer")
+def migrate_records(spark, sf_dir):
+    old = read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_acctbal").alias("start"), F.lit("0.0.0").alias("schema_version"), F.col("c_mktsegment").alias("segment"))
+    return schema.migrate(old, ["record_id", "start_time"]).withColumn("segment", F.col("extensions")["segment"]).drop("extensions")
+
+
+@query("WITH e AS (SELECT user_id AS source_id, event_id AS seq, CASE event_type WHEN 'view' THEN 'acquired' WHEN 'click' THEN 'decoded' WHEN 'purchase' THEN 'published' WHEN 'error' THEN 'failed' ELSE 'blocked' END AS state FROM events), m AS (SELECT source_id, max_by(state, seq) FILTER (state NOT IN ('failed', 'blocked')) AS good, max(seq) FILTER (state NOT IN ('failed', 'blocked')) AS g, max_by(state, seq) FILTER (state IN ('failed', 'blocked')) AS bad, max(seq) FILTER (state IN ('failed', 'blocked')) AS b FROM e GROUP BY ALL) SELECT source_id, coalesce(good, 'registered') AS state, CASE WHEN b > coalesce(g, -1) THEN bad END AS error FROM m")
+def job_states(spark, sf_dir):
+    names = {"view": "acquired", "click": "decoded", "purchase": "published", "error": "failed"}
+    state = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in names.items()], F.lit("blocked"))
+    events = read(spark, sf_dir, "events").select(F.col("user_id").alias("source_id"), F.col("event_id").alias("seq"), state.alias("state"))
+    return incremental.advance(events.select("source_id").distinct(), events)
