@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Arrow batches stay small, so that a Python worker holds few long texts at once.
 ARROW_ROWS = 1000
-ARROW_BYTES = 16 << 20
+ARROW_BYTES = 4 << 20
 
 
 def tune(spark: SparkSession) -> SparkSession:
