@@ -70,7 +70,7 @@ def split_leaks(records: DataFrame, group: str, split: str = "split") -> DataFra
 
 
 def group_of(video: Column, canonical: Column, channel: Column) -> Column:
-    """The split group of a video: that of its canonical copy; its channel if known, else itself."""
+    """The split group of a video, the same as its canonical copy's: ``channel`` is that copy's, if there is one."""
     return F.coalesce(channel_group(channel), canonical, video)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import captions, ids, interval, text
 from ..functions.reasons import reasons
-from ..operators import agreement, curation, dedup, graph, ocr, policy, questions, release, stats, temporal
+from ..operators import agreement, curation, dedup, graph, motion, ocr, policy, questions, release, stats, temporal
 from .. import schema
 from ..runtime import read, tune
 from ..streaming import incremental
@@ -526,3 +526,18 @@ def job_states(spark, sf_dir):
     state = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in names.items()], F.lit("blocked"))
     events = read(spark, sf_dir, "events").select(F.col("user_id").alias("source_id"), F.col("event_id").alias("seq"), state.alias("state"))
     return incremental.advance(events.select("source_id").distinct(), events)
+
+
+@query(f"WITH {SCENES}, b AS (SELECT *, lag(l_returnflag) OVER w AS p, lead(l_returnflag) OVER w AS q FROM scenes WINDOW w AS (PARTITION BY video_id ORDER BY scene_id)), s AS (SELECT video_id, scene_id, CASE WHEN p = q AND l_returnflag <> p THEN p ELSE l_returnflag END AS label FROM b), f AS (SELECT *, CASE WHEN label = lag(label) OVER (PARTITION BY video_id ORDER BY scene_id) THEN 0 ELSE 1 END AS fresh FROM s), i AS (SELECT *, sum(fresh) OVER (PARTITION BY video_id ORDER BY scene_id ROWS UNBOUNDED PRECEDING) AS island FROM f) SELECT video_id, island, any_value(label) AS label, min(scene_id) AS first, max(scene_id) AS last, count(*) AS n FROM i GROUP BY video_id, island")
+def label_islands(spark, sf_dir):
+    return motion.label_islands(scenes(spark, sf_dir), "l_returnflag", order="scene_id")
+
+
+@query("WITH r AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS r, count(*) OVER (PARTITION BY user_id) AS n FROM events), c AS (SELECT user_id, avg(value) FILTER (r > n - greatest(1, n // 4)) - avg(value) FILTER (r <= greatest(1, n // 4)) AS change FROM r GROUP BY ALL) SELECT user_id, round(change, 6) AS change, CASE WHEN change >= 20 THEN 'rising' WHEN change <= -20 THEN 'falling' ELSE 'steady' END AS trend FROM c")
+def brightness_trend(spark, sf_dir):
+    return motion.trend(read(spark, sf_dir, "events"), "value", "user_id", "ts").withColumn("change", F.round("change", 6))
+
+
+@query("SELECT user_id, round(avg(value), 6) AS value_mean, median(value) AS value_median FROM events GROUP BY user_id")
+def measurement_summaries(spark, sf_dir):
+    return motion.summaries(read(spark, sf_dir, "events"), ["user_id"], ["value"], []).withColumn("value_mean", F.round("value_mean", 6))
