@@ -44,3 +44,12 @@ def shuffle_width(spark: SparkSession) -> int:
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A driver table by Spark's own reader, so that any store Spark knows will do."""
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def spread(frame: DataFrame) -> DataFrame:
+    """A scan of fewer partitions than there are cores, dealt over all of them; a larger one as it is.
+
+    For small files only: a table of many row groups has its partitions already.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame if frame._jdf.queryExecution().toRdd().getNumPartitions() >= cores else frame.repartition(cores)
