@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import read, tune
+from ..runtime import read, spread, tune
 from . import decontaminate as _bench
 from . import exact_dedup as _exact
 from . import language as _language
@@ -27,36 +27,40 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string")) % parts
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(read(tune(spark), sf_dir, "documents"))
+
+
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pieces.round_trip(read(tune(spark), sf_dir, "documents"))
+    return _pieces.round_trip(_documents(spark, sf_dir))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _exact.exact_dedup(read(tune(spark), sf_dir, "documents")).drop("n_chunks")
+    return _exact.exact_dedup(_documents(spark, sf_dir)).drop("n_chunks")
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _license.license_scan(read(tune(spark), sf_dir, "documents")).drop("places")
+    return _license.license_scan(_documents(spark, sf_dir)).drop("places")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = (read(tune(spark), sf_dir, t) for t in ("documents", "labels"))
+    docs, labels = _documents(spark, sf_dir), read(spark, sf_dir, "labels")
     model = _toxicity.train(docs, labels.filter(fold(F.col("doc_id"), 5) != 0))
     judged = _toxicity.judge(docs, model)
     return judged.select("doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted", F.size("passages").cast("long").alias("n_passages"))
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bench.digest(_bench.decontaminate(read(tune(spark), sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
+    return _bench.digest(_bench.decontaminate(_documents(spark, sf_dir), read(spark, sf_dir, "benchmark")))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = _simhash.near_duplicates(read(tune(spark), sf_dir, "documents"))
+    found = _simhash.near_duplicates(_documents(spark, sf_dir))
     return found.select("doc_id", _simhash.hexed(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = _substring.substring_dedup(read(tune(spark), sf_dir, "documents"))
+    found = _substring.substring_dedup(_documents(spark, sf_dir))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
@@ -66,17 +70,17 @@ def language_model(docs: DataFrame) -> _language.Model:
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(tune(spark), sf_dir, "documents")
+    docs = _documents(spark, sf_dir)
     found = _language.identify(docs, language_model(docs))
     return found.select("doc_id", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", F.array_join("languages.lang", ",").alias("languages"))
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _urls.filter_urls(read(tune(spark), sf_dir, "pages")).drop("score")
+    return _urls.filter_urls(spread(read(tune(spark), sf_dir, "pages"))).drop("score")
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pii.digest(_pii.find_pii(read(tune(spark), sf_dir, "documents")))
+    return _pii.digest(_pii.find_pii(_documents(spark, sf_dir)))
 
 
 OP2_SQL = r"""
