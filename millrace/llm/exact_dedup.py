@@ -56,7 +56,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         recipes = recipes.withColumn("ordinals", F.coalesce("ordinals", F.array().cast("array<int>")))
 
     best = F.min(F.struct((-F.col("points")).alias("a"), F.col("id").isNull().alias("b"), F.col("id").alias("id")))
-    groups = recipes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), best.alias("best")).filter("n > 1").select(*keys, "n", F.col("best.id").alias("keep"))
+    # Kept apart, so that the join's sides are plain shuffles, whose hot partitions can be split.
+    groups = durable(recipes.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), best.alias("best")).filter("n > 1").select(*keys, "n", F.col("best.id").alias("keep")))
     one = F.col("n").isNull()
     keep = F.when(one, F.col("id")).otherwise(F.col("keep"))
     return recipes.join(groups, keys, "left").select(
