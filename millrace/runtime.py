@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,7 +14,14 @@ ARROW_BYTES = 4 << 20
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Bound the Arrow batches of this session. Cluster settings that are already tighter stay."""
+    """Bound the Arrow batches of this session, and let Python workers find this package.
+
+    Cluster settings that are already tighter stay. Workers look where the driver has the package
+    besides where they look anyway, as it may be on the driver's path only by its working folder.
+    """
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, (env.get("PYTHONPATH"), root)))
     rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))
     if rows <= 0 or rows > ARROW_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
