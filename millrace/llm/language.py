@@ -22,7 +22,7 @@ UNKNOWN = "und"
 #: ASCII letters as lower case, other ASCII as blanks; bytes of other characters stay.
 LETTERS = bytes((b + 32) if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 #: Documents are taken together up to about so many bytes.
-GROUP_BYTES = 2_000_000
+GROUP_BYTES = 500_000
 #: A word's likelihood ratio between languages is held within e to this power.
 STRETCH = 12.0
 
