@@ -96,6 +96,34 @@ def test_set_similarity_against_all_pairs(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("few", [1, 2, 32])
+def test_minhash_links_all_near_members_of_a_bucket(spark, few):
+    import random
+
+    random.seed(5)
+    word = lambda n: [f"w{random.randrange(1000)}" for _ in range(n)]
+    head, rows = word(30), []
+    for group in range(6):
+        tail = word(25)
+        for _ in range(8):
+            tail[random.randrange(25)] = f"x{random.randrange(1000)}"
+            rows.append((len(rows), head + tail))
+        rows.append((len(rows), rows[-1][1]))
+    docs = spark.createDataFrame(rows, "id long, w array<string>")
+    got = dedup.minhash_join(docs, "id", F.col("w"), 0.8, rows=1, bands=1, few=few).collect()
+    least = {r.id: r.g[0] for r in docs.select("id", dedup.minhash(F.col("w"), rows=1).alias("g")).collect()}
+    sets = {i: frozenset(zip(w, w[1:], w[2:], strict=False)) for i, w in rows}
+    rep: dict = {}
+    for i, s in sets.items():
+        rep.setdefault(s, i)
+    near = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+    want = {(rep[s], i): 1.0 for i, s in sets.items() if rep[s] != i}
+    want |= {(i, j): near(i, j) for i in rep.values() for j in rep.values() if i < j and least[i] == least[j] and near(i, j) >= 0.8}
+    first = {g: min(i for i in least if least[i] == g) for g in least.values()}
+    assert any(max(near(first[least[i]], i), near(first[least[j]], j)) < 0.8 for i, j in want)
+    assert len(got) == len(want) and {(r.a, r.b): r.similarity for r in got} == want
+
+
 def test_timed_and_question_duplicates(spark):
     items = spark.createDataFrame([("v", "a", "A red car.", 0.0, 3.0), ("v", "b", "a red car", 0.1, 3.1), ("v", "c", "a red car", 50.0, 53.0)], "video_id string, id string, text string, start_time double, end_time double")
     assert [(r.id, r.canonical) for r in dedup.timed_duplicates(items).collect()] == [("b", "a")]
