@@ -129,6 +129,16 @@ def test_timed_and_question_duplicates(spark):
     assert [(r.id, r.canonical) for r in dedup.timed_duplicates(items).collect()] == [("b", "a")]
 
 
+def test_timed_duplicates_of_near_texts(spark):
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [("v", "a", long, 0.0, 4.0), ("v", "b", long + " more", 0.2, 4.0), ("v", "c", long + " more", 60.0, 64.0), ("v", "d", "another text altogether", 0.1, 4.0), ("u", "e", long + " more", 0.2, 4.0), ("v", "f", "", 9.0, 9.5), ("v", "g", "...", 9.0, 9.6)]
+    items = spark.createDataFrame(rows, "video_id string, id string, text string, start_time double, end_time double")
+    told = lambda **k: sorted((r.id, r.canonical) for r in dedup.timed_duplicates(items, **k).collect())
+    assert told() == [("b", "a"), ("g", "f")]
+    assert told(require_overlap=False) == [("b", "a"), ("c", "a"), ("g", "f")]
+    assert told(threshold=0.99) == [("g", "f")]
+
+
 def test_diff_merge_and_upsert(spark):
     old = spark.createDataFrame([("a", "v1", 1), ("b", "v1", 2), ("c", "v2", 3)], "record_id string, video_id string, x int")
     new = spark.createDataFrame([("a", "v1", 9), ("d", "v3", 4)], "record_id string, video_id string, x int")
