@@ -495,13 +495,13 @@ def duration_questions(spark, sf_dir):
 
 @query()
 def question_generation(spark, sf_dir):
-    return questions.generate(timeline(spark, sf_dir), "event_type", per_type=5).withColumn("event_ids", F.array_join("event_ids", ","))
+    return questions.generate(timeline(spark, sf_dir), "event_type", per_type=5, entity="event_type", attributes=["event_type"]).withColumn("event_ids", F.array_join("event_ids", ","))
 
 
 @query()
 def answer_recompute(spark, sf_dir):
     events = timeline(spark, sf_dir)
-    return questions.recompute(questions.generate(events, "event_type"), events).groupBy("type", "recomputed").agg(F.count(F.lit(1)).alias("n"))
+    return questions.recompute(questions.generate(events, "event_type", entity="event_type", attributes=["event_type"]), events).groupBy("type", "recomputed").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT page_id, CASE WHEN NOT regexp_matches(lower(url), '^https?://') THEN 'invalid' WHEN regexp_matches(url, '[?&]v=') THEN 'video' WHEN regexp_matches(url, '[?&]list=') THEN 'playlist' ELSE 'other' END AS kind FROM pages")

@@ -21,6 +21,21 @@ def test_generated_questions_are_well_formed_and_recompute(spark):
     assert {r.recomputed for r in questions.recompute(wrong, events).collect()} == {"failed"}
 
 
+def test_all_eight_templates(spark):
+    rows = [("v", f"e{i}", ["appearance", "action", "action"][i % 3], 12.0 * i, 12.0 * i + 4, ["a car passes", "the camera pans left", "a dog barks"][i % 3], ["car", "view", "dog"][i % 3], "day" if i < 5 else "night") for i in range(8)]
+    events = spark.createDataFrame(rows, "video_id string, event_id string, event_type string, start_time double, end_time double, event string, entity string, light string")
+    asked = questions.generate(events, entity="entity", attributes=["light"]).cache()
+    got = asked.collect()
+    assert {r.type for r in got} == set(questions.ANSWERS) - {"before_after"}
+    assert asked.filter(F.size(questions.form_faults(F.col("question"))) > 0).count() == 0
+    assert asked.filter(F.size(questions.answer_faults(F.col("answer"), F.col("type"))) > 0).count() == 0
+    change = [r for r in got if r.type == "state_change"]
+    assert [(r.answer, r.event_ids, r.start_time, r.end_time, r.difficulty) for r in change] == [("The light changes from day to night (the change happens around 60.0s).", ["e4", "e5"], 48.0, 64.0, "medium")]
+    assert len([r for r in got if r.type == "multi_event"]) == 12
+    assert any(r.answer == "3 shots (starting around 0s, 36s, 72s)." and r.event_ids == ["e0", "e3", "e6"] for r in got)
+    assert any(r.type == "long_range" and r.event_ids == ["e1", "e4"] and r.difficulty == "hard" for r in got)
+
+
 @pytest.mark.parametrize(("text", "expected"), [("the camera pans left", ["pan_left"]), ("it pans left and pans right", ["pan_left", "pan_right"]), ("a still camera", ["static"]), ("nothing", [])])
 def test_movements(spark, text, expected):
     row = spark.range(1).select(captions.movements(F.lit(text)).alias("m"), captions.contradictions(F.lit(text)).alias("c")).first()
