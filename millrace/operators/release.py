@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from ..functions.reasons import reasons
 
 
-def dangling(records: DataFrame, refs: str, parents: DataFrame, parent: str, scope: str = "video_id", key: str = "record_id") -> DataFrame:
-    """(scope, key, missing): references that no parent of the same scope answers."""
+def dangling(records: DataFrame, refs: str, parents: DataFrame, parent: str, scope: str = "video_id", key: str = "record_id", within: bool = True) -> DataFrame:
+    """(scope, key, missing): references that no parent of the same scope answers, or none at all if not ``within``."""
     each = records.select(scope, key, F.explode(refs).alias("missing"))
-    known = parents.select(scope, F.col(parent).alias("missing")).distinct()
-    return each.join(known, [scope, "missing"], "left_anti").select(scope, key, "missing")
+    by = [scope, "missing"] if within else ["missing"]
+    known = parents.withColumn("missing", F.col(parent)).select(*by).distinct()
+    return each.join(known, by, "left_anti").select(scope, key, "missing")
 
 
 def repeated_ids(records: DataFrame, key: str = "record_id") -> DataFrame:

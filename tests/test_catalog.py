@@ -36,3 +36,10 @@ def test_entry_and_registry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(catalog.QUERIES) <= set(entry.queries())
+
+
+def test_reference_violations_of_many_statuses(spark, tmp_path):
+    spark.createDataFrame([(i, 1 if i else 2, f"s{i}") for i in range(12)], "o_orderkey long, o_custkey long, o_orderstatus string").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(1,)], "c_custkey long").write.parquet(str(tmp_path / "customer.parquet"))
+    got = catalog.QUERIES["reference_violations"](spark, str(tmp_path)).collect()
+    assert [(r.record_id, r.missing, r.video_id) for r in got] == [(0, 2, "s0")]
