@@ -18,13 +18,15 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     """
     pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).dropna()
     both = durable(pairs.unionAll(pairs.select("b", "a")).distinct())
-    roots = both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("root"))
-    roots = durable(roots)
+    size = both.count()
+    roots = durable(both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("root")), size)
+    if not size:
+        return roots
     for _ in range(max_rounds):
         offered = both.join(roots, both.b == roots.node).groupBy("a").agg(F.min("root").alias("offer"))
         lower = roots.join(offered, roots.node == offered.a).select("node", F.col("root").alias("was"), F.least("root", "offer").alias("root"))
         above = roots.select(F.col("node").alias("n2"), F.col("root").alias("r2"))
-        jumped = durable(lower.join(above, lower.root == above.n2).select("node", F.least("root", "r2").alias("root"), (F.least("root", "r2") < F.col("was")).alias("moved")))
+        jumped = durable(lower.join(above, lower.root == above.n2).select("node", F.least("root", "r2").alias("root"), (F.least("root", "r2") < F.col("was")).alias("moved")), size)
         roots = jumped.select("node", "root")
         if jumped.filter("moved").isEmpty():
             return roots

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: Arrow batches stay small, so that a Python worker holds few long texts at once.
 ARROW_ROWS = 1000
 ARROW_BYTES = 4 << 20
+#: Kept frames of a known number of rows get one file for so many.
+ROWS_A_FILE = 500_000
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -30,20 +32,43 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; make one of our own only where none is named."""
+    """Use the shared folder that ``spark.checkpoint.dir`` names.
+
+    Only a session whose executors are threads of the driver gets a folder of its own instead.
+    """
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
-    context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-checkpoint-"))
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and not context.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="millrace-checkpoint-"))
 
 
-def durable(frame: DataFrame) -> DataFrame:
+def durable(frame: DataFrame, rows: int | None = None) -> DataFrame:
     """Compute once, keep in the shared checkpoint folder and cut the lineage there.
 
-    The copy is reliable storage, so a lost executor costs only its running tasks.
+    The copy is reliable storage, so a lost executor costs only its running tasks. Of a frame
+    known to have ``rows`` rows at most, no more than one file for each ``ROWS_A_FILE`` is kept.
     """
     ensure_checkpoint_dir(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+    return (frame if rows is None else frame.coalesce(1 + rows // ROWS_A_FILE)).checkpoint(eager=True)
+
+
+def settled(frame: DataFrame) -> DataFrame:
+    """The frame, kept if a shuffle made it: then the order of its rows is no longer a matter of luck.
+
+    Row numbers of a scan or of a kept frame are the same at every evaluation.
+    """
+    return durable(frame) if "Exchange" in frame._jdf.queryExecution().executedPlan().toString() else frame
+
+
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, or with as many underscores before it as it takes to be no column of the frame."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def shuffle_width(spark: SparkSession) -> int:
