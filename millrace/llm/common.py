@@ -72,3 +72,17 @@ def kind(said: str) -> DataType:
 
 def struct(*fields: tuple[str, str | DataType]) -> StructType:
     return StructType([StructField(n, kind(t) if isinstance(t, str) else t) for n, t in fields])
+
+
+_KEPT: list = [None, None]
+
+
+def kept(key: object, make: Callable[[], object]) -> object:
+    """``make()``, once for each key in a Python worker, which keeps only the latest one's value.
+
+    So what an operator remembers between tasks is freed when another operator's tasks begin.
+    """
+    if _KEPT[0] is not key:
+        _KEPT[:] = [None, None]
+        _KEPT[:] = [key, make()]
+    return _KEPT[1]

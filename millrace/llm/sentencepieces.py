@@ -26,12 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import arrow_map, struct
+from ..runtime import durable
+from .common import arrow_map, kept, struct
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK_CHARS = 32_768
-CACHED_WORDS = 200_000
-CACHED_CHARS = 64
+#: Words that a worker remembers, of so many characters at most: some 20 MB.
+CACHED_WORDS, CACHED_CHARS = 100_000, 32
 BLANK = "▁"
 #: A character of no piece: it becomes a byte token, which nothing merges with.
 BARRIER = "\x01"
@@ -185,42 +186,49 @@ def path(ways: list[list[tuple[int, int, int, int]]], goes) -> list[tuple[int, i
 
 
 def _model(spark, path: str):
-    """The model's bytes, read by Spark so that any store will do, for all executors."""
-    row = spark.read.format("binaryFile").load(path if "://" in path else f"file://{path}").select("content").first()
-    return spark.sparkContext.broadcast(bytes(row["content"]))
-
-
-_TOKENIZERS: dict[int, tuple[object, Tokenizer]] = {}
+    """The model's bytes for all executors: the driver's file, or one of a store that Spark knows."""
+    if "://" in path:
+        content = bytes(spark.read.format("binaryFile").load(path).select("content").first()["content"])
+    else:
+        with open(path, "rb") as f:
+            content = f.read()
+    return spark.sparkContext.broadcast(content)
 
 
 def _tokenizer(sent) -> Tokenizer:
     """One in each Python worker."""
-    if _TOKENIZERS.get(0, (None,))[0] is not sent.value:
-        _TOKENIZERS[0] = (sent.value, Tokenizer(sent.value))
-    return _TOKENIZERS[0][1]
+    content = sent.value
+    return kept(content, lambda: Tokenizer(content))
 
 
 def _sha(text: str | None) -> str:
     return hashlib.sha256((text or "").encode()).hexdigest()
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = MODEL_PATH, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """One row per input row: id, n_tokens, token_ids, n_chunks, text_sha256.
+def _told(tokenizer: Tokenizer, ids: list[bytes], checked: bool) -> list[list]:
+    """n_tokens, token_ids and, if the round trip is checked, the digest of the decoded text."""
+    return [[len(x) // 4 for x in ids], ids, *([[_sha(tokenizer.decode(x)) for x in ids]] if checked else [])]
+
+
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = MODEL_PATH, chunk_chars: int = CHUNK_CHARS, checked: bool = False) -> DataFrame:
+    """One row per input row: id, n_tokens, token_ids, n_chunks, text_sha256 and, if ``checked``, decoded_sha256.
 
     ``token_ids`` are int32, little-endian, and equal the library's for the whole text;
-    ``text_sha256`` is the source text's. Null and empty texts have no tokens and one chunk.
-    Null ids and repeated rows are encoded each on its own. Chunks of giant documents are
-    dealt over all tasks; only their states meet again, and then their ids.
+    ``text_sha256`` is the source text's and ``decoded_sha256`` that of the text which the ids
+    decode to. Null and empty texts have no tokens and one chunk. Null ids and repeated rows are
+    encoded each on its own, other columns aren't read, and an empty table gives none. Chunks of
+    giant documents are kept once, numbered, and dealt over all tasks; only their states meet
+    again, and then their ids.
     """
     sent = _model(docs.sparkSession, model_path)
     kind = docs.schema[id_col].dataType
-    out = struct(("id", kind), ("n_tokens", "bigint"), ("token_ids", "binary"), ("n_chunks", "bigint"), ("text_sha256", "string"))
+    digest = [("decoded_sha256", "string")] if checked else []
+    out = struct(("id", kind), ("n_tokens", "bigint"), ("token_ids", "binary"), *digest, ("n_chunks", "bigint"), ("text_sha256", "string"))
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def small(batch: pa.RecordBatch) -> list:
         tokenizer, texts = _tokenizer(sent), batch.column(1).to_pylist()
-        ids = [tokenizer.encode(t) for t in texts]
-        return [batch.column(0), [len(x) // 4 for x in ids], ids, [1] * len(ids), [_sha(t) for t in texts]]
+        return [batch.column(0), *_told(tokenizer, [tokenizer.encode(t) for t in texts], checked), [1] * len(texts), [_sha(t) for t in texts]]
 
     short = arrow_map(source.filter(F.col("text").isNull() | (F.length("text") <= chunk_chars)), out, small)
 
@@ -233,10 +241,11 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
         for batch in batches:
             for row, name, text in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
                 sha, made = _sha(text), _tokenizer(sent).chunks(text, chunk_chars)
-                for at in range(0, len(made), 64):
-                    yield pa.RecordBatch.from_pylist([{"row": row, "k": at + k, "id": name, "sha": sha, "chunk": c, "size": n, "left": a, "right": b} for k, (c, n, a, b) in enumerate(made[at : at + 64])], schema=arrow)
+                for at in range(0, len(made), 16):
+                    yield pa.RecordBatch.from_pylist([{"row": row, "k": at + k, "id": name, "sha": sha, "chunk": c, "size": n, "left": a, "right": b} for k, (c, n, a, b) in enumerate(made[at : at + 16])], schema=arrow)
 
-    pieces = giants.mapInArrow(cut, piece).repartition("row", "k")
+    # Kept, so that a chunk has one row number at all its uses, whatever order the rows came in.
+    pieces = durable(giants.mapInArrow(cut, piece).repartition("row", "k"))
 
     way = "array<struct<i: int, j: int, first: int, last: int>>"
 
@@ -266,14 +275,14 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
 
     def assemble(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["k"])
-        ids = b"".join(r["ids"] for r in rows)
-        return pa.Table.from_pylist([{"id": rows[0]["id"], "n_tokens": len(ids) // 4, "token_ids": ids, "n_chunks": len(rows), "text_sha256": rows[0]["sha"]}], schema=to_arrow_schema(out))
+        values = [[rows[0]["id"]], *_told(_tokenizer(sent), [b"".join(r["ids"] for r in rows)], checked), [len(rows)], [rows[0]["sha"]]]
+        return pa.table([pa.array(v, type=f.type) for v, f in zip(values, to_arrow_schema(out), strict=True)], schema=to_arrow_schema(out))
 
     return short.unionAll(parts.groupBy("row").applyInArrow(assemble, out)).withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, ids_col: str = "token_ids", model_path: str = MODEL_PATH, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` and ``decoded``, the text of the ids. Null ids decode to the empty text."""
+    """The columns ``keep`` and ``decoded``, the text of the ids. Null ids decode to the empty text; an empty table gives none."""
     sent = _model(encoded.sparkSession, model_path)
     schema = struct(*((c, encoded.schema[c].dataType) for c in keep), ("decoded", "string"))
 
@@ -285,8 +294,6 @@ def decode(encoded: DataFrame, ids_col: str = "token_ids", model_path: str = MOD
 
 
 def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = MODEL_PATH, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
-    """Encode and decode: id, n_tokens, n_chunks, ids_sha256, text_sha256, decoded_sha256, same."""
-    encoded = encode(docs, id_col, text_col, model_path, chunk_chars)
-    back = decode(encoded, keep=(id_col, "n_tokens", "n_chunks", "text_sha256", "token_ids"), model_path=model_path)
-    decoded = F.sha2("decoded", 256)
-    return back.select(id_col, "n_tokens", "n_chunks", F.sha2("token_ids", 256).alias("ids_sha256"), "text_sha256", decoded.alias("decoded_sha256"), (decoded == F.col("text_sha256")).alias("same"))
+    """Encode and decode in one pass: id, n_tokens, n_chunks, ids_sha256, text_sha256, decoded_sha256, same."""
+    encoded = encode(docs, id_col, text_col, model_path, chunk_chars, checked=True)
+    return encoded.select(id_col, "n_tokens", "n_chunks", F.sha2("token_ids", 256).alias("ids_sha256"), "text_sha256", "decoded_sha256", (F.col("decoded_sha256") == F.col("text_sha256")).alias("same"))
