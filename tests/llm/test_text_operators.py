@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 
@@ -138,6 +139,15 @@ def test_toxicity_learns_words_and_beginnings(spark):
     assert {r.predicted for r in toxicity.judge(docs, empty).collect()} == {0}
 
 
+def test_chunks_of_unordered_giants_stay_together(spark):
+    """Rows dealt anew at every evaluation: each giant's chunks must still be its own."""
+    giants = [(i, passage(4000 + i, 300), None, None, None) for i in range(60)]
+    dealt = spark.createDataFrame(giants, SCHEMA).orderBy(F.rand()).repartition(5)
+    got = {r.doc_id: r for r in sentencepieces.round_trip(dealt, chunk_chars=300).collect()}
+    assert len(got) == 60 and all(r.same and r.n_chunks > 4 for r in got.values())
+    assert all(got[i].text_sha256 == hashlib.sha256(t.encode()).hexdigest() for i, t, *_ in giants)
+
+
 def test_language_shares_and_held_out(spark):
     said = {"aa": "ba bo bu bam bol".split(), "kk": "ki ke kik kel kem".split(), "éé": "été dèr çal ûne".split()}
     rng = random.Random(8)
@@ -201,5 +211,7 @@ def test_round_trip_of_short_and_giant_texts(spark, tokenizer):
     assert plain((r.doc_id, bytes(r.token_ids)) for r in got) == plain(want)
     assert any(r.n_chunks > 30 for r in got)
     assert all(r.same for r in sentencepieces.round_trip(table(spark, rows), chunk_chars=200).collect())
+    apart = sentencepieces.decode(sentencepieces.encode(table(spark, rows), chunk_chars=200))
+    assert plain(apart.collect()) == plain((i, t or "") for i, t, *_ in rows)
     assert sentencepieces.round_trip(table(spark, [])).count() == 0
     assert sentencepieces.encode(table(spark).withColumn("row", F.lit("clash"))).count() == len(corpus())
