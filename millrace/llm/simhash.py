@@ -1,15 +1,15 @@
 """SimHash near-dedup by multi-index hashing.
 
-A 64-bit fingerprint is kept as two segments of 32 bits. Two fingerprints that differ in at
-most two bits differ in at most one bit of the upper segment or agree in the lower, so the
-small balls to look up are the 33 values within one bit in the upper table, and the value
-itself in the lower. Fingerprints that match nothing there have no link and are done.
-
-Candidates' complete distances are verified without forming pairs: within two bits are exactly
-those whose one-bit balls meet, so each candidate is sent to the 65 codes within one bit of it
-and every code links what arrives, 65 fingerprints at most, to the smallest of them; each such
-link's distance is then checked in full. A bucket of many thousands of near copies costs 65
-rows a fingerprint and never a row a pair.
+A 64-bit fingerprint is kept as two segments of 32 bits, each a table of the fingerprints by
+the segment's value. Two fingerprints that differ in at most two bits differ in at most one
+bit of the upper segment or agree in the lower. So a fingerprint looks up the small ball of 33
+values within one bit in the upper table, and its own value in the lower; what the tables hold
+there is fetched, and the complete distance of every fetched fingerprint is verified.
+
+A value that many distinct fingerprints share would bring all pairs of them together. Those
+fingerprints, and those whose ball holds such a value, are linked without pairs: two that are
+within two bits meet at a code within one bit of both, so each is sent to the 65 codes around
+it, and a code links what arrives, 65 at most, to the smallest of them.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ SEED = 42
 SHINGLE = 3
 DISTANCE = 2
 BLOCK = 1 << 15
+#: Distinct fingerprints of one segment value that are fetched one by one.
+BUCKET = 64
 
 
 def fingerprint(text: bytes | None, width: int = SHINGLE) -> int:
@@ -54,42 +56,57 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return arrow_map(docs.select(F.col(id_col).alias("id"), text_col), struct(("id", docs.schema[id_col].dataType), ("fp", "bigint")), rows)
 
 
-def _ball(code: Column, low: int, high: int) -> Column:
-    """The code, and the code with each one bit from ``low`` up to ``high`` flipped."""
-    return F.array(code, *[code.bitwiseXOR(F.lit((1 << k) - (1 << 64) * (k == 63)).cast("bigint")) for k in range(low, high)])
+def _ball(code: Column, bits: int) -> Column:
+    """The code, and the code with each one of its ``bits`` lower bits flipped."""
+    return F.array(code, *[code.bitwiseXOR(F.lit((1 << k) - (1 << 64) * (k == 63)).cast("bigint")) for k in range(bits)])
 
 
-def links(codes: DataFrame) -> DataFrame:
-    """(src, dst) between distinct fingerprints, at most two bits apart, that connect each linked set."""
+def _apart(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
+
+
+def links(codes: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """(src, dst), src < dst, of distinct fingerprints ``fp`` at most two bits apart.
+
+    All such pairs in which no looked-up value has more than ``bucket`` fingerprints, and of the
+    others enough to connect what they connect.
+    """
     fp = F.col("fp")
-    split = codes.select("fp", F.shiftrightunsigned(fp, 32).alias("upper"), fp.bitwiseAND(F.lit(0xFFFFFFFF)).alias("lower"))
-    upper = split.groupBy(F.col("upper").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    probes = split.select("fp", "upper", F.explode(_ball(F.col("upper"), 0, 32)).alias("value"))
-    near = probes.join(upper, "value").filter((F.col("value") != F.col("upper")) | (F.col("n") > 1)).select("fp")
-    lower = split.groupBy("lower").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    same = split.join(lower, "lower").select("fp")
-    candidates = near.unionAll(same).distinct()
-    met = candidates.select("fp", F.explode(_ball(fp, 0, 64)).alias("code")).groupBy("code").agg(F.collect_list("fp").alias("all")).filter(F.size("all") > 1)
-    star = met.select(F.array_min("all").alias("src"), F.explode("all").alias("dst")).filter(F.col("src") != F.col("dst"))
-    return star.filter(F.bit_count(F.col("src").bitwiseXOR(F.col("dst"))) <= DISTANCE).distinct()
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
+    looked = F.array(
+        F.struct(F.lit(0).alias("segment"), _ball(F.shiftrightunsigned(fp, 32), 32).alias("values")),
+        F.struct(F.lit(1).alias("segment"), F.array(fp.bitwiseAND(F.lit(0xFFFFFFFF))).alias("values")),
+    )
+    probes = codes.select("fp", F.explode(looked).alias("x")).select("fp", F.col("x.segment").alias("segment"), F.posexplode("x.values").alias("flip", "value"))
+    table = probes.filter("flip = 0").select("segment", "value", "fp")
+    crowd = durable(table.groupBy("segment", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > bucket).select("segment", "value"))
+    few = crowd.isEmpty()
+    held = table if few else table.join(crowd, ["segment", "value"], "left_anti")
+    fetched = probes.join(held.withColumnRenamed("fp", "other"), ["segment", "value"]).filter(fp != F.col("other"))
+    found = fetched.filter(_apart("fp", "other") <= DISTANCE).select(F.least("fp", "other").alias("src"), F.greatest("fp", "other").alias("dst"))
+    if not few:
+        near_crowd = probes.join(crowd, ["segment", "value"], "left_semi").select("fp").distinct()
+        met = near_crowd.select("fp", F.explode(_ball(fp, 64)).alias("code")).groupBy("code").agg(F.collect_list("fp").alias("all")).filter(F.size("all") > 1)
+        star = met.select(F.array_min("all").alias("src"), F.explode("all").alias("dst")).filter(F.col("src") != F.col("dst"))
+        found = found.unionAll(star.filter(_apart("src", "dst") <= DISTANCE))
+    return found.distinct()
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, bucket: int = BUCKET) -> DataFrame:
     """One row per input row: id, fp (signed), component_id.
 
     Rows of equal fingerprint are one class before anything is looked up, so that the size of a
     group of copies costs nothing. ``component_id`` is the smallest id of the rows reachable by
     links of at most two bits, itself included; a null id is never it unless there is no other.
-    Null and empty texts have fingerprint zero and link like any other.
+    Null and empty texts have fingerprint zero and link like any other. Very long texts are
+    hashed in blocks; other columns, whatever their names, aren't read; an empty table gives none.
     """
     marked = durable(fingerprints(docs, id_col, text_col, width))
-    classes = durable(marked.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")))
-    roots = connected_components(links(classes.select("fp")))
+    classes = durable(marked.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")), marked.count())
+    roots = connected_components(links(classes.select("fp"), bucket))
     joined = classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked"))
     whole = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     told = joined.filter("linked or n > 1").join(whole, "root").select("fp", "component_id")
-    alone = F.col("component_id")
-    return marked.join(told.withColumn("found", F.lit(True)), "fp", "left").select(F.col("id").alias(id_col), "fp", F.when(F.col("found"), alone).otherwise(F.col("id")).alias("component_id"))
+    return marked.join(told.withColumn("found", F.lit(True)), "fp", "left").select(F.col("id").alias(id_col), "fp", F.when(F.col("found"), F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def hexed(fp: Column) -> Column:

@@ -67,7 +67,9 @@ def test_simhash_components_are_brute_force(spark):
     assert len({w[2] for w in want}) < len(rows) - 8
 
 
-def test_links_connect_what_two_bits_connect(spark):
+@pytest.mark.parametrize("bucket", [64, 2])
+def test_links_connect_what_two_bits_connect(spark, bucket):
+    """A bucket of two sends nearly all fingerprints the way without pairs."""
     import random
 
     r = random.Random(4)
@@ -80,12 +82,20 @@ def test_links_connect_what_two_bits_connect(spark):
     signed = [c - (1 << 64) * (c >> 63) for c in codes]
     from millrace.operators.graph import connected_components
 
-    found = simhash.links(spark.createDataFrame([(c,) for c in signed], "fp long"))
+    found = simhash.links(spark.createDataFrame([(c,) for c in signed], "fp long"), bucket)
     roots = {x.node: x.root for x in connected_components(found).collect()}
     near = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 2}
     assert near and all(roots[a] == roots[b] for a, b in near)
     assert all(((x.src ^ x.dst) & ((1 << 64) - 1)).bit_count() <= 2 for x in found.collect())
     assert set(roots) == {x for pair in near for x in pair}
+    if bucket == 64:
+        assert {tuple(sorted(x)) for x in near} == {(x.src, x.dst) for x in found.collect()}
+
+
+def test_simhash_of_nothing_and_of_clashing_names(spark):
+    assert simhash.near_duplicates(table(spark, [])).count() == 0
+    odd = table(spark).withColumnsRenamed({"lang": "fp", "source": "value"}).withColumn("segment", F.lit(1)).withColumn("id", F.lit("x"))
+    assert simhash.near_duplicates(odd).count() == len(corpus())
 
 
 def removal(rows):
@@ -146,3 +156,18 @@ def test_decontamination_is_brute_force(spark, block_words):
     got = decontaminate.digest(decontaminate.decontaminate(table(spark), bench, block_words=block_words))
     assert plain(got.collect()) == plain(want) and any(w[5] for w in want)
     assert decontaminate.decontaminate(table(spark), bench.limit(0)).filter("n_hit > 0").count() == 0
+    assert decontaminate.decontaminate(table(spark, []), bench, block_words=block_words).count() == 0
+    odd = table(spark).withColumnsRenamed({"lang": "row", "source": "spans"}).withColumn("id", F.lit("x")).withColumn("items", F.lit(1))
+    assert decontaminate.decontaminate(odd, bench, block_words=block_words).count() == len(corpus())
+
+
+def test_a_block_stays_within_forty_bytes_a_word():
+    import pickle
+    import random
+
+    r = random.Random(3)
+    items = [(str(k), [b"%x" % r.randrange(1 << 28) for _ in range(200)]) for k in range(500)]
+    block = decontaminate.Block(items, 8)
+    assert len(pickle.dumps(block)) < 50 * 100_000
+    words = [b"x"] * 50 + items[7][1][100:120] + [b"y"] * 9 + items[9][1][:7] + [b"z"] * 9 + items[11][1][:8]
+    assert block.scan(words) == ([(50, 70), (95, 103)], ["11", "7"])
