@@ -1,9 +1,14 @@
-"""Personal data: patterns propose spans, checksums confirm them, nearby words adjust the score."""
+"""Personal data and credentials: patterns propose spans, validators confirm them, nearby words adjust the score.
+
+Validators are Luhn, mod-97, ranges of numbers and, for credentials, the entropy of their characters.
+"""
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -11,7 +16,7 @@ from pyspark.sql import DataFrame
 from .common import arrow_map, struct
 
 #: Kinds in the order in which equal starts are listed. The first four are the contract's base.
-KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
+KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "key", "secret")
 BASE_KINDS = 4
 
 # Possessive repeats and the look-behinds keep every search linear in the text; each finds what
@@ -22,6 +27,22 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+#: Beginnings of well-known credentials, and the shape of each.
+KEYS = {
+    "AKIA": re.compile(r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"),
+    "ASIA": re.compile(r"(?<![A-Za-z0-9])ASIA[0-9A-Z]{16}(?![A-Za-z0-9])"),
+    "ghp_": re.compile(r"(?<![A-Za-z0-9])ghp_[A-Za-z0-9]{36,64}(?![A-Za-z0-9])"),
+    "glpat-": re.compile(r"(?<![A-Za-z0-9])glpat-[A-Za-z0-9_-]{20,64}(?![A-Za-z0-9])"),
+    "xoxb-": re.compile(r"(?<![A-Za-z0-9])xoxb-[A-Za-z0-9-]{20,80}(?![A-Za-z0-9])"),
+    "sk_live_": re.compile(r"(?<![A-Za-z0-9])sk_live_[A-Za-z0-9]{20,64}(?![A-Za-z0-9])"),
+    "eyJ": re.compile(r"(?<![A-Za-z0-9])eyJ[A-Za-z0-9_-]{8,2000}\.eyJ[A-Za-z0-9_-]{8,4000}\.[A-Za-z0-9_-]{8,1000}(?![A-Za-z0-9])"),
+    "-----BEGIN": re.compile(r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]{0,8000}-----END (?:[A-Z]+ ){0,3}PRIVATE KEY-----)?"),
+}
+#: What follows the sign of an assignment, and the names before it that make it a secret.
+ASSIGNED = re.compile(r"[:=][ \t]{0,3}[\"']?([A-Za-z0-9+/_.~$!@#%^&*-]{8,200})")
+SECRET_NAMES = ("password", "passwd", "pwd", "passphrase", "secret", "token", "api_key", "apikey", "api-key", "access_key", "access-key", "private_key", "auth_key")
+#: Bits of entropy a character that a credential has at least.
+ENTROPY = 2.5
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 #: Words whose nearness supports a kind.
@@ -32,6 +53,8 @@ CONTEXT = {
     "phone": ("phone", "tel", "call", "fax", "mobile"),
     "iban": ("iban", "bank", "account", "transfer"),
     "ssn": ("ssn", "social security", "taxpayer"),
+    "key": ("key", "token", "secret", "credential"),
+    "secret": ("user", "login", "key", "config", "env", "account"),
 }
 #: Score of a span by its pattern alone, by a passed validator besides, and for context.
 PLAIN, VALID, NEAR = 0.4, 0.3, 0.3
@@ -89,14 +112,35 @@ def _ssns(text: str):
         yield *m.span(), False
 
 
-FINDERS = (_emails, _ips, _cards, _phones, _ibans, _ssns)
+def entropy(text: str) -> float:
+    """Bits a character, by the text's own frequencies."""
+    n = len(text)
+    return sum(c / n * math.log2(n / c) for c in Counter(text).values())
+
+
+def _keys(text: str):
+    for begins, shape in KEYS.items():
+        if begins in text:
+            for m in shape.finditer(text):
+                yield *m.span(), entropy(m[0]) >= ENTROPY
+
+
+def _secrets(text: str):
+    for m in ASSIGNED.finditer(text):
+        named = text[max(0, m.start() - 24) : m.start()].rstrip(" \t\"'").lower()
+        if named.endswith(SECRET_NAMES):
+            yield *m.span(1), entropy(m[1]) >= ENTROPY and any(map(str.isdigit, m[1]))
+
+
+FINDERS = (_emails, _ips, _cards, _phones, _ibans, _ssns, _keys, _secrets)
 
 
 def find(text: str | None, window: int = 48) -> list[tuple[int, int, int, float, bool]]:
     """(kind's number, start, end, score, validated) by start, then kind.
 
     Base kinds are always listed. An added kind is listed from a score of 0.6 on: by its
-    checksum, or by a context word within ``window`` code points.
+    checksum, by its entropy if it is a credential, or by a context word within ``window`` code
+    points.
     """
     out = []
     for k, finder in enumerate(FINDERS) if text else ():
@@ -112,7 +156,8 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     """One row per input row: id and ``spans``, an array of (kind, start, end, score, validated).
 
     Offsets are code points, ends exclusive. A null or empty text has an empty array; null ids
-    and repeated rows pass through; other columns are not read. No shuffle.
+    and repeated rows pass through; other columns, whatever their names, are not read; an empty
+    table gives none; whole texts of any length are searched in linear time. No shuffle.
     """
     schema = struct((id_col, docs.schema[id_col].dataType), ("spans", "array<struct<kind: string, start: bigint, end: bigint, score: double, validated: boolean>>"))
 
@@ -124,16 +169,17 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The contract's columns from ``find_pii``'s rows."""
-    schema = struct((id_col, found.schema[id_col].dataType), *((f"n_{k}", "bigint") for k in KINDS[:BASE_KINDS]), ("base_sha256", "string"), ("spans", "string"))
+    schema = struct((id_col, found.schema[id_col].dataType), *((f"n_{k}", "bigint") for k in KINDS[:BASE_KINDS]), ("base_sha256", "string"), ("spans", "string"), ("n_spans", "bigint"))
 
     def rows(batch: pa.RecordBatch) -> list:
-        counts, hashes, lists = [[] for _ in KINDS[:BASE_KINDS]], [], []
+        counts, hashes, lists, totals = [[] for _ in KINDS[:BASE_KINDS]], [], [], []
         for spans in batch.column(1).to_pylist():
             said = [(x["kind"], f"{x['kind']}:{x['start']}:{x['end']}") for x in spans]
             for k, n in enumerate(counts):
                 n.append(sum(kind == KINDS[k] for kind, _ in said))
             hashes.append(hashlib.sha256(",".join(s for kind, s in said if kind in KINDS[:BASE_KINDS]).encode()).hexdigest())
             lists.append(",".join(s for _, s in said))
-        return [batch.column(0), *counts, hashes, lists]
+            totals.append(len(said))
+        return [batch.column(0), *counts, hashes, lists, totals]
 
     return arrow_map(found.select(id_col, "spans"), schema, rows)
