@@ -13,22 +13,37 @@ from millrace.llm import language, license_scan, pii, sentencepieces, toxicity,
 from .helpers import SCHEMA, corpus, passage, plain, table
 
 
-def test_license_scan_is_brute_force(spark):
-    texts = ["", None, "Licensed under CC BY-NC 4.0. All rights reserved.", "all all rights reserved all rights reserved", "GNU General Public License, version 3.", "cc-by cc by cc", "Licensed under the Apache License, Version 2.0.", "\u212aeep general PUBLIC license", "éGeneral public license", "x " * 3000 + "all rights reserved"]
-    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
-    table_ = license_scan.index()
-    assert all(0 < weight < 1 and rare for _, _, weight, rare in table_)
-    want = []
+def license_rows(rows):
+    """Every place of every notice tried: the key phrases where they belong, and two anchors."""
+    entries, want = license_scan.index(), []
     for i, t, *_ in rows:
         words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate({c: c + 32 for c in range(65, 91)}))
-        at = {p: [k for k in range(len(words)) if words[k : k + len(p.split())] == p.split()] for p in license_scan.TEMPLATES}
-        base = sorted(k for p in license_scan.BASE for k in at[p])
-        named = lambda ps: ",".join(sorted({license_scan.TEMPLATES[p] for p in ps if at[p]}))  # noqa: B023, E731
-        score = max([0.0, *(w for p, _, w, _ in table_ if at[p])])
-        want.append((i, len(words), len(base), min(base, default=None), max(base, default=None), named(license_scan.BASE), named(at), score))
+        stands = lambda s, phrase, at: words[s + at : s + at + len(phrase.split())] == phrase.split()  # noqa: B023, E731
+        votes = lambda s, e: sum(s + at < len(words) and words[s + at] == w for w, at in e.anchors)  # noqa: B023, E731
+        found = [(e, [s for s in range(len(words)) if all(stands(s, p, at) for p, at in e.phrases) and votes(s, e) >= license_scan.AGREE]) for e in entries]
+        base = sorted(s for e, at in found if e.base for s in at)
+        named = lambda only: ",".join(sorted({e.label for e, at in found if at and (e.base or not only)}))  # noqa: B023, E731
+        want.append((i, len(words), len(base), min(base, default=None), max(base, default=None), named(True), named(False), max([0.0, *(e.weight for e, at in found if at)])))
+    return want
+
+
+def test_license_scan_is_brute_force(spark):
+    notices = [n for _, n, _ in license_scan.NOTICES]
+    texts = ["", None, "Licensed under CC BY-NC 4.0. All rights reserved.", "all all rights reserved all rights reserved", "GNU General Public License, version 3.", "cc-by cc by cc", "Licensed under the Apache License, Version 2.0.", "\u212aeep general PUBLIC license", "éGeneral public license", "x " * 3000 + "all rights reserved", *notices, " ".join(notices), "Permission is hereby granted, free of charge, to all people obtaining a copy of that software and associated documentation files."]
+    rng = random.Random(4)
+    for _ in range(60):
+        words = " ".join(rng.sample(notices, 2)).split()
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(len(words))] = rng.choice(["x", "license", "public", "by"])
+        texts.append(" ".join(words))
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)] + [(None, "cc by", None, None, None), (3, texts[3], None, None, None)]
+    entries = license_scan.index()
+    assert all(0 < e.weight < 1 and len(e.anchors) >= license_scan.AGREE for e in entries)
     got = license_scan.license_scan(spark.createDataFrame(rows, SCHEMA)).drop("places")
-    assert plain(got.collect()) == plain(want)
+    assert plain(got.collect()) == plain(license_rows(rows))
     assert license_scan.license_scan(table(spark, [])).count() == 0
+    odd = table(spark).withColumnsRenamed({"lang": "words", "source": "hits"}).withColumn("s0", F.lit(1))
+    assert plain(license_scan.license_scan(odd).drop("places").collect()) == plain(license_rows(corpus()))
 
 
 def base_spans(text):
