@@ -28,6 +28,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ..runtime import shuffle_width
 from .common import as_bytes, struct
@@ -222,8 +223,12 @@ def _merge_runs(table: pa.Table) -> pa.Table:
 
 
 def _sharded(docs: DataFrame, id_col: str, text_col: str, shards: int) -> DataFrame:
-    key = F.pmod(F.xxhash64(F.col(id_col).cast("bigint")), F.lit(shards)).cast("int")
-    return docs.select(key.alias("shard"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    """Rows of one id in one shard; those without an id anywhere, as none removes the other's words."""
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"{id_col} must be an integer: words go by the order of ids")
+    own = F.col(id_col).cast("bigint")
+    key = F.pmod(F.xxhash64(F.when(own.isNull(), F.xxhash64(text_col)).otherwise(own)), F.lit(shards)).cast("int")
+    return docs.select(key.alias("shard"), own.alias("id"), F.col(text_col).alias("text"))
 
 
 def shard_count(docs: DataFrame, text_col: str = "text", shard_chars: int = SHARD_CHARS) -> int:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import durable
-from .common import arrow_map, as_bytes, folded_words, struct
+from .common import arrow_map, as_bytes, folded_words, kept, struct
 
 
 #: Lengths in characters of the beginnings of words.
@@ -126,9 +126,9 @@ def _odds(sample: DataFrame, tokens: Callable[[set[bytes]], set[str]], share: fl
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = 20_000, share: float = 0.05, significant: float = 4.0, effect: float = 1.6, frequent: int = 20, tokens: int = 50_000, background: float = -0.1) -> Model:
     """Fit on ``rows`` labelled rows at most, chosen by a hash of the id, near copies once.
 
-    Counts are documents that hold a token. Of words, significant ones and ``frequent`` ones,
-    and of beginnings significant ones, the model keeps ``tokens`` at most each, so that its
-    size has a bound. Significant are log-odds of at least ``effect`` and so many standard
+    Counts are documents that hold a token. The model keeps all significant words of those rows,
+    and ``tokens`` at most of the other ``frequent`` ones and of the significant beginnings, so
+    that its size has a bound. Significant are log-odds of at least ``effect`` and so many standard
     errors: toxic texts are to be found, not clean ones. Rows without an id or label teach nothing; of several labels of one
     document the largest counts.
     """
@@ -140,8 +140,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     telling = (F.col("z") >= significant) & (F.col("odds") >= effect)
     by_word = durable(_odds(sample, lambda words: {w.decode() for w in words}, share).filter((F.col("t") + F.col("c") >= frequent) | telling).withColumn("telling", telling))
-    kept = by_word.orderBy((F.col("t") + F.col("c")).desc(), "token").limit(tokens).collect()
-    words = {r["token"]: float(r["odds"]) if r["telling"] else None for r in kept}
+    frequent_words = by_word.filter("NOT telling").orderBy((F.col("t") + F.col("c")).desc(), "token").limit(tokens)
+    known = by_word.filter("telling").unionAll(frequent_words).collect()
+    words = {r["token"]: float(r["odds"]) if r["telling"] else None for r in known}
 
     def starts(seen: set[bytes]) -> set[str]:
         rare = [w for w in (x.decode() for x in seen) if w not in words]
@@ -153,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not clean_docs or clean_docs == sample.count():
         return Model(words, beginnings, background, 1.0, 1.0, 0.0, -6.0)
 
-    held: dict[str, int] = {r["token"]: r["c"] for r in kept if words[r["token"]] is not None} | {r["token"]: r["c"] for r in begun}
+    held: dict[str, int] = {r["token"]: r["c"] for r in known if words[r["token"]] is not None} | {r["token"]: r["c"] for r in begun}
     schema = struct(("y", "int"), ("n", "bigint"), ("found", "array<double>"))
 
     def score(level: float) -> list:
@@ -210,14 +211,16 @@ def judge(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """One row per input row: id, score, predicted, passages.
 
     ``passages`` lists the maximal scoring segments (start, end in words, score, expected
-    number by chance). Null and empty texts have no words and get the score of no evidence.
+    number by chance). Null and empty texts have no words and get the score of no evidence. Null
+    ids and repeated rows are judged each on its own, other columns, whatever their names, aren't
+    read, an empty table gives none, and a text of any length takes time in proportion.
     """
     schema = struct((id_col, docs.schema[id_col].dataType), ("score", "double"), ("predicted", "int"), ("passages", "array<struct<start: bigint, end: bigint, score: double, expected: double>>"))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(batch: pa.RecordBatch) -> list:
         m = sent.value
-        known = _known(m)
+        known = kept(m, lambda: Scores(m.words, m.beginnings))
         scores, passages = [], []
         for text in as_bytes(batch.column(1)):
             words = folded_words(text)
@@ -228,13 +231,3 @@ def judge(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         return [batch.column(0), scores, [int(s >= 0.5) for s in scores], passages]
 
     return arrow_map(docs.select(id_col, text_col), schema, rows)
-
-
-_KNOWN: dict[int, tuple[Model, Scores]] = {}
-
-
-def _known(model: Model) -> Scores:
-    """The words remembered by this Python worker."""
-    if _KNOWN.get(0, (None,))[0] is not model:
-        _KNOWN[0] = (model, Scores(model.words, model.beginnings))
-    return _KNOWN[0][1]

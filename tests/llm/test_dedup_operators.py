@@ -34,6 +34,18 @@ def test_exact_dedup_of_nothing_and_of_clashing_names(spark):
     assert exact_dedup.exact_dedup(odd).count() == len(corpus())
 
 
+def test_exact_dedup_of_very_long_and_other_scripts(spark):
+    rng = __import__("random").Random(6)
+    say = lambda a, n: "".join(chr(a + rng.randrange(80)) + " " * (rng.random() < 0.2) for _ in range(n))
+    long, greek, han = say(0x41, 200_000), say(0x391, 9_000), say(0x4E00, 9_000)
+    rows = [(1, long), (2, long.replace(" ", "\n")), (3, long[:-1]), (4, greek), (5, greek + " "), (6, han), (7, " " + han), (8, han[5:])]
+    got = exact_dedup.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[norm(t)].append((-len(t), i))
+    assert sorted((r.doc_id, r.keep_id, r.group_size) for r in got) == sorted((i, min(groups[norm(t)])[1], len(groups[norm(t)])) for i, t in rows)
+
+
 def fingerprint(t):
     words = (t or "").encode().lower().split()
     if not words:
@@ -120,6 +132,15 @@ def test_substring_dedup_is_brute_force(spark):
     assert substring.substring_dedup(table(spark, [])).count() == 0
 
 
+def test_substring_dedup_of_clashing_names_and_many_null_ids(spark):
+    rows = [*corpus(), *[(None, passage(70 + i % 3, 40), None, None, None) for i in range(30)]]
+    odd = table(spark, rows).withColumnsRenamed({"lang": "shard", "source": "bucket"}).withColumn("id", F.lit("x"))
+    got = substring.substring_dedup(odd, shards=5).select("doc_id", "n_words", "n_removed", "kept_text")
+    assert plain(got.collect()) == plain(removal(rows))
+    with pytest.raises(TypeError):
+        substring.substring_dedup(table(spark).withColumn("doc_id", F.concat(F.lit("d"), "doc_id")))
+
+
 def test_substring_history_acts_as_one_table(spark):
     rows = corpus()
     old, new = rows[:15], rows[15:]

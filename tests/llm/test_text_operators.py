@@ -180,6 +180,10 @@ def test_toxicity_learns_words_and_beginnings(spark):
     held = [(got[i].predicted, y) for i, y in labels if i % 3 == 0]
     assert sum(p == y for p, y in held) / len(held) > 0.97
     assert got[9001].predicted == got[9002].predicted == 0 and 0 <= got[9001].score <= 1 and got[None].passages
+    assert toxicity.judge(docs.limit(0), model).count() == 0
+    long = "calm " * 200_000 + "vileword " * 9
+    odd = spark.createDataFrame([(1, long, 9.0), (1, long, 9.0)], "doc_id long, text string, score double")
+    assert [r.passages[-1].end for r in toxicity.judge(odd, model).collect()] == [200_009] * 2
     empty = toxicity.train(docs, known.limit(0))
     assert {r.predicted for r in toxicity.judge(docs, empty).collect()} == {0}
 
@@ -206,6 +210,14 @@ def test_language_shares_and_held_out(spark):
     told = {r.doc_id: r for r in language.identify(odd, model).collect()}
     assert [told[i].lang_pred for i in (1, 2, 3)] == ["und"] * 3 and told[None].lang_pred == "éé"
     assert [x.lang for x in told[4].languages] == ["aa", "kk"] and abs(told[4].score - 2 / 3) < 0.1
+    assert language.identify(docs.limit(0), model).count() == 0
+    long = say("kk", 300_000) + " 12 " + say("aa", 30)
+    clash = spark.createDataFrame([(1, long, "x"), (1, long, "x")], "doc_id long, text string, lang_pred string")
+    assert [(r.lang_pred, r.n_words) for r in language.identify(clash, model).collect()] == [("kk", 300_030)] * 2
+    tied = language.Model(["aa", "kk"], np.zeros((2, 1 << language.BUCKET_BITS), np.float32) - 5)
+    assert language.identify(docs.limit(1), tied).first().lang_pred == "aa"
+    alone = {r.doc_id: r for x in range(6) for r in language.identify(docs.filter(F.col("doc_id") == x), model).collect()}
+    assert all(alone[x] == got[x] for x in alone)
     nothing = language.train(docs.limit(0))
     assert {r.lang_pred for r in language.identify(docs, nothing).collect()} == {"und"}
 
