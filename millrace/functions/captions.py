@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+from typing import NamedTuple
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,9 +25,38 @@ MOVEMENTS = {
 # Brightness bands of lighting words, and how far outside one contradicts the word.
 LIGHT = {"dark": (0.0, 50.0), "dim": (50.0, 95.0), "normal": (95.0, 170.0), "bright": (170.0, 256.0)}
 LIGHT_SLACK = 20.0
+# Texts that stand for no text.
 PLACEHOLDERS = ("unknown", "unmeasured", "n/a", "null", "none")
 
 
+class Limit(NamedTuple):
+    """A flag for a measure outside an open or closed side."""
+
+    measure: str
+    flag: str
+    least: float | None = None
+    most: float | None = None
+
+
+#: Limits of a shot's measures, and what lies outside is called.
+SHOT_LIMITS = (Limit("sharpness", "blurry", least=40.0), Limit("dark", "underexposed", most=0.7), Limit("bright", "overexposed", most=0.5), Limit("blockiness", "compression_artifacts", most=1.8))
+#: A camera movement in words. Parts in which a field is named vanish if it is unknown.
+CAMERA_WORDS = {
+    "pan": ("{speed} ", "pan", " to the {direction}"),
+    "tilt": ("{speed} ", "tilt", " {direction}"),
+    "dolly": ("{speed} ", "dolly", " {direction}"),
+    "zoom": ("{speed} ", "zoom", " {direction}"),
+    "crane": ("{speed} ", "crane", " {direction}"),
+    "tracking": ("{speed} ", "tracking shot", " moving {direction}"),
+    "orbit": ("{speed} ", "camera orbiting the subject", " {direction}"),
+    "static": ("static camera",),
+    "handheld": ("handheld camera",),
+    "fpv": ("first-person camera",),
+    "drone": ("drone shot",),
+    "complex": ("complex camera movement",),
+}
+
+
 def movements(text: Column) -> Column:
     """Camera movements that a text claims."""
     low = F.lower(text)
@@ -62,15 +95,37 @@ def light_conflict(label: Column, brightness: Column) -> Column:
     return out
 
 
-def quality_flags(sharpness: Column, dark: Column, bright: Column, blockiness: Column, min_sharpness: float = 40.0, max_dark: float = 0.7, max_bright: float = 0.5, max_blockiness: float = 1.8) -> Column:
-    """Measured visual faults of a shot, in a fixed order."""
-    return reasons((sharpness < min_sharpness, "blurry"), (dark > max_dark, "underexposed"), (bright > max_bright, "overexposed"), (blockiness > max_blockiness, "compression_artifacts"))
+def outside(limits: Iterable[Limit], **measures: Column) -> Column:
+    """The flags of the limits that a measure breaks, in the limits' order; an unknown measure breaks none."""
+    rules = []
+    for limit in limits:
+        if limit.measure in measures:
+            value = measures[limit.measure]
+            rules += [(value < limit.least, limit.flag)] if limit.least is not None else []
+            rules += [(value > limit.most, limit.flag)] if limit.most is not None else []
+    return reasons(*rules)
+
+
+def motionless(series: dict[str, tuple[Column, float, bool]], duration: Column, shortest: float = 2.0, samples: int = 3) -> Column:
+    """Whether every series of a shot stays at its level.
+
+    A series is an array of samples, its highest level and whether it must be there; each must
+    have ``samples`` of them. A shot that is too short is never motionless.
+    """
+    holds = duration >= shortest
+    for values, level, needed in series.values():
+        still = (F.size(values) >= samples) & ~F.exists(values, lambda v: v > level)  # noqa: B023
+        holds = holds & (F.coalesce(still, F.lit(False)) if needed else (values.isNull() | (F.size(values) == 0) | still))
+    return holds
 
 
-def frozen(changes: Column, flows: Column, duration: Column, shortest: float = 2.0, most: float = 0.5) -> Column:
-    """A shot of three samples or more after the first without change or motion."""
-    rest = F.slice(changes, 2, F.greatest(F.lit(1), F.size(changes)))
-    return (duration >= shortest) & (F.size(rest) >= 3) & (F.array_max(rest) <= most) & F.coalesce(F.array_max(flows) < 0.05, F.lit(True))
+def filled(parts: Iterable[str], **fields: Column) -> Column:
+    """The parts one after the other, each with its ``{field}`` filled in; a part whose field is null is left out."""
+    out = []
+    for part in parts:
+        name = re.search(r"\{(\w+)\}", part)
+        out.append(F.lit(part) if name is None else F.coalesce(F.concat(F.lit(part[: name.start()]), fields[name[1]], F.lit(part[name.end() :])), F.lit("")))
+    return F.concat(*out)
 
 
 def caption_faults(text: Column, shortest: int = 12, longest: int = 1200) -> Column:
@@ -88,12 +143,8 @@ def caption_faults(text: Column, shortest: int = 12, longest: int = 1200) -> Col
 
 
 def camera_phrase(movement: Column, direction: Column, speed: Column) -> Column:
-    """A camera block in words; null if the movement is unknown."""
-    to = F.when(movement == "pan", F.concat(F.lit("pan"), F.coalesce(F.concat(F.lit(" to the "), direction), F.lit(""))))
-    to = to.when(movement.isin("tilt", "dolly", "zoom", "crane"), F.concat_ws(" ", movement, direction)).when(movement == "tracking", F.concat(F.lit("tracking shot"), F.coalesce(F.concat(F.lit(" moving "), direction), F.lit(""))))
-    to = to.when(movement == "orbit", F.concat_ws(" ", F.lit("camera orbiting the subject"), direction)).when(movement.isin("static", "handheld"), F.concat(movement, F.lit(" camera")))
-    to = to.when(movement == "fpv", F.lit("first-person camera")).when(movement == "drone", F.lit("drone shot")).when(movement == "complex", F.lit("complex camera movement"))
-    return F.when(to.isNotNull() & speed.isNotNull() & ~movement.isin("static", "handheld", "fpv", "drone", "complex"), F.concat_ws(" ", speed, to)).otherwise(to)
+    """A camera block in words; null if the movement has none."""
+    return F.coalesce(*[F.when(movement == name, filled(parts, direction=direction, speed=speed)) for name, parts in CAMERA_WORDS.items()])
 
 
 def generation_prompt(duration: Column, shot: Column, subjects: Column, setting: Column, time_of_day: Column, camera: Column, lighting: Column, actions: Column) -> Column:

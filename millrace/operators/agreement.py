@@ -75,50 +75,41 @@ def sample_size(population: int, margin: float = 0.05, confidence: float = 0.95,
     return max(1, min(population, math.ceil(n0 / (1 + (n0 - 1) / population))))
 
 
-def allocate(sizes: dict[str, int], n: int) -> dict[str, int]:
-    """n places over strata in proportion, one at least each, remainders by largest fraction.
+def allocate(sizes: DataFrame, stratum: str, n: int, size: str = "n") -> DataFrame:
+    """(stratum, places): n places over strata in proportion to ``size``, one at least for each if there are enough.
 
-    With fewer places than strata the largest get one each.
+    One sort of seats: a stratum's first seat comes before all others, of larger strata first;
+    its j-th is worth what is left of its exact share after j - 1 seats. The n best seats count.
+    There are no more seats than places and strata together. Strata without rows get nothing.
     """
-    strata = sorted(k for k in sizes if sizes[k] > 0)
-    total = sum(sizes[k] for k in strata)
-    n = min(n, total)
-    if n <= 0:
-        return dict.fromkeys(strata, 0)
-    if n < len(strata):
-        first = set(sorted(strata, key=lambda k: (-sizes[k], k))[:n])
-        return {k: int(k in first) for k in strata}
-    share = {k: n * sizes[k] / total for k in strata}
-    out = {k: max(1, math.floor(share[k])) for k in strata}
-    while sum(out.values()) > n:
-        out[max((k for k in strata if out[k] > 1), key=lambda k: (out[k] - share[k], out[k], k))] -= 1
-    by_fraction = sorted(strata, key=lambda k: (math.floor(share[k]) - share[k], -sizes[k], k))
-    while sum(out.values()) < n:
-        for k in by_fraction:
-            if sum(out.values()) < n and out[k] < sizes[k]:
-                out[k] += 1
-    return out
+    full = sizes.filter(F.col(stratum).isNotNull() & (F.col(size) > 0)).select(F.col(stratum), F.col(size).alias("_s")).withColumn("_all", F.lit(1))
+    total = F.sum("_s").over(Window.partitionBy("_all"))
+    share = full.withColumn("_share", F.least(F.lit(n), total) * F.col("_s") / total)
+    seats = share.withColumn("_seat", F.explode(F.sequence(F.lit(1), F.least(F.col("_s"), F.ceil("_share") + 1).cast("int"))))
+    best = Window.partitionBy("_all").orderBy((F.col("_seat") > 1), F.when(F.col("_seat") > 1, F.round(F.col("_share") - F.col("_seat") + 1, 9)).desc_nulls_last(), F.col("_s").desc(), F.col(stratum))
+    return seats.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= n).groupBy(stratum).agg(F.count(F.lit(1)).cast("int").alias("places"))
 
 
 def stratified_sample(records: DataFrame, stratum: str, key: str, n: int, seed: int = 1234, scope: str | None = None, cap: int | None = None, reviewers: tuple[str, ...] = ("reviewer_a", "reviewer_b"), double: float = 0.2) -> DataFrame:
     """A repeatable sample of n rows over strata, dealt to reviewers.
 
     Rows are in order of a hash of seed and key, so every draw is the same. ``cap`` bounds the
-    rows of one ``scope``; what a stratum then lacks isn't refilled. A ``double`` share of the
-    sample goes to all reviewers, the others by turns.
+    rows of one ``scope``: a stratum takes its next rows instead of those above it, and what
+    strata then still lack is refilled in that order from the rows of any. A ``double`` share of
+    the sample goes to all reviewers, the others by turns. Rows without a stratum aren't drawn.
     """
     order = [F.sha1(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string"))), F.col(key)]
+    known = records.filter(F.col(stratum).isNotNull())
+    places = allocate(known.groupBy(stratum).agg(F.count(F.lit(1)).alias("n")), stratum, n)
     if scope and cap:
-        records = records.withColumn("_c", F.row_number().over(Window.partitionBy(scope).orderBy(*order))).filter(F.col("_c") <= cap).drop("_c")
-    sizes = {r[stratum]: r["n"] for r in records.filter(F.col(stratum).isNotNull()).groupBy(stratum).agg(F.count(F.lit(1)).alias("n")).collect()}
-    quota = allocate(sizes, n)
-    if not quota:
-        return records.limit(0).withColumn("assigned_to", F.array().cast("array<string>"))
-    places = F.create_map(*[x for k, q in quota.items() for x in (F.lit(k), F.lit(q))])
-    drawn = records.filter(F.col(stratum).isNotNull()).withColumn("_n", F.row_number().over(Window.partitionBy(stratum).orderBy(*order))).filter(F.col("_n") <= places[F.col(stratum)])
-    total = sum(quota.values())
-    ranked = drawn.withColumn("_all", F.lit(1)).withColumn("_r", F.row_number().over(Window.partitionBy("_all").orderBy(*order)) - 1)
+        known = known.withColumn("_c", F.row_number().over(Window.partitionBy(scope).orderBy(*order))).filter(F.col("_c") <= cap).drop("_c")
+    queued = known.join(F.broadcast(places), stratum, "left").withColumn("_n", F.row_number().over(Window.partitionBy(stratum).orderBy(*order)))
+    # A row beyond its stratum's places can only be drawn if some stratum has too few; n of those are enough.
+    first = queued.filter(F.col("_n") <= F.col("places")).withColumn("_late", F.lit(0))
+    spare = queued.filter(F.coalesce(F.col("_n") > F.col("places"), F.lit(True))).orderBy(*order).limit(n).withColumn("_late", F.lit(1))
+    ranked = first.unionByName(spare).withColumn("_all", F.lit(1)).withColumn("_r", F.row_number().over(Window.partitionBy("_all").orderBy("_late", *order))).filter(F.col("_r") <= n)
+    turned = ranked.withColumn("_r", F.row_number().over(Window.partitionBy("_all").orderBy(*order)) - 1)
     both = F.array(*[F.lit(r) for r in reviewers])
     turn = F.array(F.element_at(both, (F.col("_r") % len(reviewers) + 1).cast("int")))
-    n_double = round(double * total) if len(reviewers) > 1 else 0
-    return ranked.withColumn("assigned_to", F.when(F.col("_r") < n_double, both).otherwise(turn)).drop("_n", "_r", "_all")
+    n_double = F.round(F.lit(double) * F.count(F.lit(1)).over(Window.partitionBy("_all"))) if len(reviewers) > 1 else F.lit(0)
+    return turned.withColumn("assigned_to", F.when(F.col("_r") < n_double, both).otherwise(turn)).drop("_n", "_r", "_all", "_late", "places")

@@ -473,7 +473,8 @@ def caption_faults(spark, sf_dir):
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, array_to_string(list_filter([CASE WHEN l_quantity < 10 THEN 'blurry' END, CASE WHEN l_discount > 0.08 THEN 'underexposed' END, CASE WHEN l_tax > 0.07 THEN 'overexposed' END], lambda x: x IS NOT NULL), ',') AS flags FROM lineitem")
 def visual_flags(spark, sf_dir):
-    flags = captions.quality_flags(F.col("l_quantity"), F.col("l_discount"), F.col("l_tax"), F.lit(None).cast("double"), min_sharpness=10, max_dark=0.08, max_bright=0.07)
+    limits = (captions.Limit("sharpness", "blurry", least=10), captions.Limit("dark", "underexposed", most=0.08), captions.Limit("bright", "overexposed", most=0.07))
+    flags = captions.outside(limits, sharpness=F.col("l_quantity"), dark=F.col("l_discount"), bright=F.col("l_tax"))
     return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.array_join(flags, ",").alias("flags"))
 
 
