@@ -91,9 +91,24 @@ def worst(status: Column, order: tuple[str, ...] = ("accepted", "review", "rejec
     return F.max_by(status, rank)
 
 
-def frozen_hash(records: DataFrame, key: str) -> DataFrame:
+def frozen_hash(records: DataFrame, key: str, most: int = 5_000_000) -> DataFrame:
     """The SHA-256 of the distinct keys, sorted and joined by line ends: one row.
 
-    The whole list meets in one task, as the hash of a sorted list must; it is for releases' id sets.
+    The hash of one sorted list has to meet in one task; more than ``most`` keys are refused
+    (``ranged_hash`` is for those).
     """
-    return records.select(F.col(key).cast("string").alias("k")).dropna().distinct().agg(F.sha2(F.array_join(F.array_sort(F.collect_list("k")), "\n"), 256).alias("frozen"), F.count(F.lit(1)).alias("n"))
+    keys = records.select(F.col(key).cast("string").alias("k")).dropna().distinct()
+    n = F.count(F.lit(1))
+    checked = F.when(n <= most, F.sha2(F.array_join(F.array_sort(F.collect_list("k")), "\n"), 256)).otherwise(F.raise_error(F.lit(f"more than {most} keys in one list")))
+    return keys.agg(checked.alias("frozen"), n.alias("n"))
+
+
+def ranged_hash(records: DataFrame, key: str, prefix: int = 2) -> DataFrame:
+    """One row that changes if any distinct key does, for sets of any size: (frozen, n).
+
+    Keys are dealt by the first ``prefix`` hex digits of their own hash, each part's sorted
+    hashes are hashed in its own task, and the parts' hashes, in order, once more.
+    """
+    hashes = records.select(F.sha2(F.col(key).cast("string"), 256).alias("h")).dropna().distinct()
+    parts = hashes.groupBy(F.substring("h", 1, prefix).alias("part")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("h"), F.count(F.lit(1)).alias("n"))
+    return parts.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "h"))), lambda x: x["h"]), ""), 256).alias("frozen"), F.sum("n").alias("n"))

@@ -11,7 +11,7 @@ from ..functions import captions, ids, interval, text
 from ..functions.reasons import reasons
 from ..operators import agreement, curation, dedup, graph, motion, ocr, policy, questions, release, stats, temporal
 from .. import schema
-from ..runtime import read, tune
+from ..runtime import durable, read, spread, tune
 from ..streaming import incremental
 from .views import SCENES, TIMELINE, norm_sql, scenes, timeline
 
@@ -82,7 +82,7 @@ def tier_counts(spark, sf_dir):
 
 @query(f"WITH k AS (SELECT doc_id, sha256({norm_sql('text')}) AS h FROM documents), g AS (SELECT h, min(doc_id) AS canonical FROM k GROUP BY h HAVING count(*) > 1) SELECT doc_id, canonical FROM k JOIN g USING (h) WHERE doc_id <> canonical")
 def exact_duplicates(spark, sf_dir):
-    return dedup.exact_duplicates(read(spark, sf_dir, "documents"), "doc_id", F.sha2(text.normalize_text(F.col("text")), 256))
+    return dedup.exact_duplicates(spread(read(spark, sf_dir, "documents")), "doc_id", F.sha2(text.normalize_text(F.col("text")), 256))
 
 
 _SETS = "sets AS (SELECT doc_id AS id, list_sort(list_distinct(list_filter(string_split(" + norm_sql("text") + ", ' '), lambda x: x <> ''))) AS s FROM documents)"
@@ -90,13 +90,13 @@ _SETS = "sets AS (SELECT doc_id AS id, list_sort(list_distinct(list_filter(strin
 
 @query(f"WITH {_SETS}, c AS (SELECT s, min(id) AS rep FROM sets WHERE len(s) >= 4 GROUP BY s), near AS (SELECT a.rep AS a, b.rep AS b, len(list_intersect(a.s, b.s)) AS i, len(a.s) AS n, len(b.s) AS m FROM c a JOIN c b ON a.rep < b.rep AND least(len(a.s), len(b.s)) >= 0.8 * greatest(len(a.s), len(b.s))) SELECT a, b, i / (n + m - i) AS similarity FROM near WHERE i / (n + m - i) >= 0.8 UNION ALL SELECT rep, id, 1.0 FROM sets JOIN c USING (s) WHERE id <> rep")
 def set_similarity(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").select("doc_id", text.tokens(F.col("text")).alias("words"))
+    docs = spread(read(spark, sf_dir, "documents")).select("doc_id", text.tokens(F.col("text")).alias("words"))
     return dedup.set_similarity_join(docs, "doc_id", "words", 0.8, least=4)
 
 
 @query()
 def near_duplicates_minhash(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").select("doc_id", text.tokens(F.col("text")).alias("words"))
+    docs = spread(read(spark, sf_dir, "documents")).select("doc_id", text.tokens(F.col("text")).alias("words"))
     return dedup.minhash_join(docs, "doc_id", F.col("words"), 0.8, rows=64)
 
 
@@ -328,8 +328,9 @@ def policy_status(spark, sf_dir):
     exist = F.when(F.col("l_linenumber") == 1, F.lit("not_run")).when(F.col("l_returnflag") == "R", F.lit("false")).otherwise(F.lit("true"))
     checks = F.map_filter(F.create_map(F.lit("events_exist"), exist, F.lit("interval_semantics"), (F.col("l_linestatus") == "O").cast("string")), lambda k, _: (k != "interval_semantics") | (F.col("l_linenumber") != 2))
     hard = F.when(F.col("l_quantity") > 49, F.array(F.lit("too_long"))).otherwise(F.array().cast("array<string>"))
-    told = policy.decide("relation", checks, hard, policy.threshold_status(F.col("l_tax") * 12))
-    return lines.select("l_orderkey", "l_linenumber", "l_partkey", told.alias("t")).select("l_orderkey", "l_linenumber", "l_partkey", "t.status", F.array_join("t.reasons", ",").alias("reasons"))
+    looked = lines.select("l_orderkey", "l_linenumber", "l_partkey", hard.alias("hard"), policy.threshold_status(F.col("l_tax") * 12).alias("suggested"), policy.caps("relation", checks).alias("caps"))
+    told = policy.decide("relation", checks, F.col("hard"), F.col("suggested"), held=F.col("caps"))
+    return looked.select("l_orderkey", "l_linenumber", "l_partkey", told.alias("t")).select("l_orderkey", "l_linenumber", "l_partkey", "t.status", F.array_join("t.reasons", ",").alias("reasons"))
 
 
 @query("SELECT p_partkey, array_to_string(list_filter([CASE WHEN p_size < 5 THEN 'status:review' END, CASE WHEN p_type = 'ECONOMY' THEN 'not_in_subset:cinematic' END, CASE WHEN p_name LIKE '%red%' THEN 'camera:unknown' WHEN p_size % 9 = 0 THEN 'camera:ambiguous' END], lambda x: x IS NOT NULL), ',') AS reasons FROM part")
@@ -367,7 +368,8 @@ def lexical_grounding(spark, sf_dir):
 
 @query("WITH d AS (SELECT doc_id, text, " + norm_sql("text") + " AS n FROM documents), k AS (SELECT doc_id, text, count(*) OVER (PARTITION BY sha256(n)) AS copies FROM d) SELECT doc_id, array_to_string(list_filter([CASE WHEN length(text) < 60 THEN 'too_short' END, CASE WHEN regexp_matches(text, '[#$%&*]{3}') THEN 'residue' END, CASE WHEN copies > 1 THEN 'duplicate' END], lambda x: x IS NOT NULL), ',') AS reasons FROM k")
 def caption_rules(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").select("doc_id", F.length("text").alias("n"), F.col("text").rlike("[#$%&*]{3}").alias("residue"), F.sha2(text.normalize_text(F.col("text")), 256).alias("h"))
+    docs = spread(read(spark, sf_dir, "documents")).select("doc_id", F.length("text").alias("n"), F.col("text").rlike("[#$%&*]{3}").alias("residue"), F.sha2(text.normalize_text(F.col("text")), 256).alias("h"))
+    docs = durable(docs)  # hashed once, read twice
     copies = docs.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     told = docs.join(copies, "h", "left")
     return told.select("doc_id", F.array_join(reasons((F.col("n") < 60, "too_short"), (F.col("residue"), "residue"), (F.col("c") > 1, "duplicate")), ",").alias("reasons"))
@@ -456,7 +458,8 @@ SELECT split, lang, status, tier, count(*) AS n, sum(n_chars)::BIGINT AS chars F
 @query(_FLAG)
 def annotate_pipeline(spark, sf_dir):
     """Duplicates, groups, splits, policy and tiers of all documents, as counts."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", F.sha2(text.normalize_text(F.col("text")), 256).alias("h"))
+    docs = spread(read(spark, sf_dir, "documents")).select("doc_id", "source", "lang", "n_chars", F.sha2(text.normalize_text(F.col("text")), 256).alias("h"))
+    docs = durable(docs)  # hashed once, read thrice
     copies = docs.groupBy("h").agg(F.min("doc_id").alias("canonical"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
     splits = curation.assign_splits(docs, "source")
     told = docs.join(copies, "h", "left").join(splits, "source")
@@ -468,7 +471,7 @@ def annotate_pipeline(spark, sf_dir):
 
 @query(r"WITH d AS (SELECT doc_id, lower(trim(text, ' ')) AS t FROM documents), w AS (SELECT doc_id, t, regexp_split_to_array(t, '\s+') AS w FROM d) SELECT doc_id, array_to_string(list_filter([CASE WHEN t = '' THEN 'empty' END, CASE WHEN t <> '' AND length(t) < 12 THEN 'too_short' END, CASE WHEN length(t) > 1200 THEN 'too_long' END, CASE WHEN t IN ('unknown', 'unmeasured', 'n/a', 'null', 'none') THEN 'placeholder' END, CASE WHEN regexp_matches(t, '[{}<>]|```|\bas an ai\b') THEN 'residue' END, CASE WHEN len(w) >= 6 AND len(list_distinct(w)) * 2 < len(w) THEN 'repetitive' END], lambda x: x IS NOT NULL), ',') AS faults FROM w")
 def caption_faults(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", F.array_join(captions.caption_faults(F.col("text")), ",").alias("faults"))
+    return spread(read(spark, sf_dir, "documents")).select("doc_id", F.array_join(captions.caption_faults(F.col("text")), ",").alias("faults"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, array_to_string(list_filter([CASE WHEN l_quantity < 10 THEN 'blurry' END, CASE WHEN l_discount > 0.08 THEN 'underexposed' END, CASE WHEN l_tax > 0.07 THEN 'overexposed' END], lambda x: x IS NOT NULL), ',') AS flags FROM lineitem")

@@ -41,10 +41,42 @@ def read_combined(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return read_jsonl(spark, path, schema.SCHEMAS[kind]).filter(F.col("record_type") == kind)
 
 
+def shard_roots(spark: SparkSession, root: str) -> list[str]:
+    """Globs of a collection's shards, uploaded ones too, that match something."""
+    return [g for g in (f"{root}/shard_*", f"{root}/uploaded/shard_*") if exists(spark, g)]
+
+
 def read_shards(spark: SparkSession, root: str, kind: str, key: str = "record_id") -> DataFrame:
-    """All shards of one type; of one id the copy of the latest shard."""
-    rows = spark.read.schema(schema.SCHEMAS[kind]).parquet(f"{root}/shard_*/{kind}.parquet").withColumn("_shard", F.input_file_name())
-    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.col("_shard").desc()))).filter("_n = 1").drop("_n", "_shard")
+    """All shards of one type; of one id the copy of the shard of the highest number, of equal ones the last path."""
+    globs = [f"{g}/{kind}.parquet" for g in shard_roots(spark, root)]
+    globs = [g for g in globs if exists(spark, g)]
+    if not globs:
+        return spark.createDataFrame([], schema.SCHEMAS[kind])
+    rows = spark.read.schema(schema.SCHEMAS[kind]).parquet(*globs).withColumn("_shard", F.input_file_name())
+    number = F.regexp_extract("_shard", r"shard_(\d+)", 1).try_cast("bigint")
+    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(number.desc_nulls_last(), F.col("_shard").desc()))).filter("_n = 1").drop("_n", "_shard")
+
+
+def read_videos(spark: SparkSession, root: str, kind: str) -> DataFrame:
+    """One record type of the finished videos of a run: per-video folders that hold a manifest."""
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]+$", 1)
+    if not exists(spark, f"{root}/*/{kind}.jsonl"):
+        return spark.createDataFrame([], schema.SCHEMAS[kind])
+    rows = read_jsonl(spark, f"{root}/*/{kind}.jsonl", schema.SCHEMAS[kind]).withColumn("_folder", folder)
+    done = spark.read.format("binaryFile").load(f"{root}/*/manifest.json").select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("_folder")) if exists(spark, f"{root}/*/manifest.json") else rows.select("_folder").limit(0)
+    return rows.join(done, "_folder", "left_semi").select(*[f.name for f in rows.schema if f.name != "_folder"])
+
+
+def footer_counts(spark: SparkSession, glob: str) -> DataFrame:
+    """(path, rows, columns) of Parquet files; the rows are those of the footers, no column is read."""
+    told = spark.read.parquet(glob)
+    return told.select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(told.columns)))
+
+
+def listed(spark: SparkSession, glob: str, without: tuple[str, ...] = ()) -> DataFrame:
+    """(path, length) of files, sorted by path, but those of which a part of the path is in ``without``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(glob).select("path", "length")
+    return files.filter(~F.arrays_overlap(F.split("path", "/"), F.array(*map(F.lit, without)))).orderBy("path") if without else files.orderBy("path")
 
 
 def tolerant_boolean(value: Column) -> Column:
@@ -53,15 +85,40 @@ def tolerant_boolean(value: Column) -> Column:
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
-    """(record_id, label) from a CSV with a header; unreadable labels are dropped."""
-    rows = spark.read.option("header", True).schema("record_id string, label string").csv(path)
+    """(record_id, label) from a CSV with a header or from JSON lines; unreadable labels are dropped."""
+    ddl = "record_id string, label string"
+    rows = read_jsonl(spark, path, ddl, tolerant=True) if path.endswith((".jsonl", ".json")) else spark.read.option("header", True).option("enforceSchema", False).csv(path).select("record_id", "label")
     return rows.select("record_id", tolerant_boolean(F.col("label")).alias("label")).dropna()
 
 
+def read_camera_labels(spark: SparkSession, path: str) -> DataFrame:
+    """(record_id, label) of camera movements: words in lower case, blanks as underscores; empty ones are dropped."""
+    rows = read_jsonl(spark, path, "record_id string, label string", tolerant=True) if path.endswith((".jsonl", ".json")) else spark.read.option("header", True).csv(path).select("record_id", "label")
+    word = F.regexp_replace(F.lower(F.trim("label")), r"[\s-]+", "_")
+    return rows.select("record_id", word.alias("label")).filter("record_id IS NOT NULL AND label <> ''")
+
+
 def read_inputs(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct inputs of a list, in order of their first line; # starts a comment."""
-    lines = spark.read.text(path).withColumn("line", F.monotonically_increasing_id()).withColumn("input", F.trim(F.regexp_replace("value", r"(^|\s)#.*$", "")))
-    return lines.filter("input <> ''").groupBy("input").agg(F.min("line").alias("line")).orderBy("line").select("input")
+    """Distinct inputs, in order of where each stands first.
+
+    A folder gives its files; a CSV its first column, without a header that names it; any other
+    file its lines, in which # starts a comment.
+    """
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(files).isDirectory():
+        return listed(spark, path).select(F.col("path").alias("input"))
+    lines = spark.read.text(path).withColumn("line", F.monotonically_increasing_id())
+    if path.endswith(".csv"):
+        cell = F.trim(F.from_csv(F.col("value"), F.lit("c string"))["c"])
+        told = lines.withColumn("input", cell).filter(~((F.col("line") == 0) & F.lower("input").isin("url", "input", "video", "path", "link")))
+    else:
+        told = lines.withColumn("input", F.trim(F.regexp_replace("value", r"(^|\s)#.*$", "")))
+    return told.filter("input <> ''").groupBy("input").agg(F.min("line").alias("line")).orderBy("line").select("input")
+
+
+def last_of_each(rows: DataFrame, key: str) -> DataFrame:
+    """Small tables of rights, tombstones or review labels: of one key the row that was read last."""
+    return rows.withColumn("_at", F.monotonically_increasing_id()).withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.col("_at").desc()))).filter("_n = 1").drop("_n", "_at")
 
 
 def video_facts(manifests: DataFrame, provenance: DataFrame, key: str = "video_id") -> DataFrame:

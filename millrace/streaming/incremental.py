@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -65,18 +67,58 @@ def stream_sessions(spark: SparkSession, path: str, ddl: str, key: str, time: st
     return sessions(spark.readStream.schema(ddl).parquet(path).withWatermark(time, late), key, time, gap)
 
 
-def stream_upserts(source: DataFrame, table: str, key: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] = lambda d: d) -> StreamingQuery:
-    """A stream's rows merged by key into a Parquet table, one version a batch.
+def stream_upserts(source: DataFrame, table: str, key: str, checkpoint: str, order: str | None = None, prepare: Callable[[DataFrame], DataFrame] = lambda d: d, parts: int = 64) -> StreamingQuery:
+    """A stream's rows merged by key into a Parquet table of ``parts`` partitions by the key's hash.
 
-    A batch that is run again after a failure writes the same version, so each row counts once.
+    Of a key's rows the one of the greatest ``order`` counts, of equal ones and without an order
+    the one of the greatest content. A batch reads and rewrites only the partitions its keys
+    fall in, under a version of its own; ``upserted`` takes of each
+    partition the latest finished version. A batch that is run again writes the same
+    version; a table that is there already, from whatever checkpoint, is carried on.
+    ``order`` compares with the table too: a late older row doesn't replace a newer one.
     """
 
     def merge(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        rows = prepare(batch).dropDuplicates([key])
-        if epoch > 0:
-            old = spark.read.parquet(f"{table}/version={epoch - 1}")
-            rows = rows.unionByName(old.join(rows.select(key), key, "left_anti"), allowMissingColumns=True)
-        rows.write.mode("overwrite").parquet(f"{table}/version={epoch}")
+        ready = prepare(batch)
+        ranked = [*([F.col(order)] if order else []), F.to_json(F.struct(*ready.columns))]
+        best = Window.partitionBy(key).orderBy(*[c.desc() for c in ranked])
+        rows = ready.withColumn("_n", F.row_number().over(best)).filter("_n = 1").drop("_n").withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
+        old = upserted(spark, table, before=(checkpoint, epoch))
+        if old is not None:
+            touched = old.join(rows.select("part").distinct(), "part", "left_semi")
+            if order:
+                later = rows.join(touched.select(key, F.col(order).alias("_was")), key).filter(F.col("_was") > F.col(order)).select(key)
+                rows = rows.join(later, key, "left_anti")
+            rows = rows.unionByName(touched.join(rows.select(key), key, "left_anti"), allowMissingColumns=True)
+        rows.write.mode("overwrite").partitionBy("part").parquet(f"{table}/{_version(spark, table, checkpoint, epoch)}")
 
     return source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _versions(spark: SparkSession, table: str) -> list[str]:
+    """Names of a table's finished versions, oldest first: v<number>_<batch of a checkpoint>."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = [s.getPath().getParent().getName() for s in files.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table}/v*/_SUCCESS"))] if files.exists(root) else []
+    return sorted(done, key=lambda n: int(n[1:].split("_")[0]))
+
+
+def _version(spark: SparkSession, table: str, checkpoint: str, epoch: int) -> str:
+    """The batch's own version if it was written before, else the next one."""
+    tag = f"{zlib.crc32(checkpoint.encode()):08x}-{epoch}"
+    known = _versions(spark, table)
+    return next((n for n in known if n.split("_")[1] == tag), f"v{int(known[-1][1:].split('_')[0]) + 1 if known else 0}_{tag}")
+
+
+def upserted(spark: SparkSession, table: str, before: tuple[str, int] | None = None) -> DataFrame | None:
+    """The table's present rows with their ``part``: of each partition those of its latest version; None if there is none."""
+    names = _versions(spark, table)
+    if before:
+        own = _version(spark, table, *before)
+        names = [n for n in names if int(n[1:].split("_")[0]) < int(own[1:].split("_")[0])]
+    if not names:
+        return None
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [spark.read.parquet(f"{table}/{n}").withColumn("_v", F.lit(k)) for k, n in enumerate(names)])
+    newest = rows.groupBy("part").agg(F.max("_v").alias("_v"))
+    return rows.join(F.broadcast(newest), ["part", "_v"], "left_semi").drop("_v")

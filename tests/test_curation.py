@@ -66,6 +66,47 @@ def test_sample_covers_strata_and_repeats(spark):
     assert len(draw(scope="video_id", cap=2)) == 16
 
 
+def test_places_are_in_proportion(spark):
+    import random
+
+    rng = random.Random(3)
+    for _ in range(6):
+        sizes = {k: rng.randint(0, 60) for k in "abcdefg"[: rng.randint(1, 7)]}
+        n, total = rng.randint(0, 90), sum(sizes.values())
+        got = {r.s: r.places for r in agreement.allocate(spark.createDataFrame(list(sizes.items()), "s string, n long"), "s", n).collect()}
+        full = [k for k in sizes if sizes[k]]
+        assert sum(got.values()) == min(n, total) and all(got[k] <= sizes[k] for k in got)
+        if full and n >= len(full):
+            assert set(got) == set(full)
+            free = [k for k in full if min(n, total) * sizes[k] / total >= 1]
+            assert all(got[k] - min(n, total) * sizes[k] / total < 1 for k in free)
+
+
+def test_vectors_against_all_pairs(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(60, 8))
+    v[30:40] = v[:10] + rng.normal(size=(10, 8)) * 0.05
+    v[41], v[42] = v[40], 0
+    rows = spark.createDataFrame([(i, [float(x) for x in v[i]]) for i in range(60)], "id long, v array<double>").repartition(3)
+    unit = np.nan_to_num(v / np.sqrt((v * v).sum(1, keepdims=True)))
+    cosine = unit @ unit.T
+    want = {(i, j) for i in range(60) for j in range(i + 1, 60) if cosine[i, j] >= 0.92}
+    assert {(r.a, r.b) for r in dedup.cosine_pairs(rows, "id", "v", 0.92, block=7).collect()} == want and len(want) > 9
+    best = {(r["query"], r["rank"]): r["id"] for r in dedup.nearest_vectors(rows.filter("id % 20 = 0"), rows, "id", "v", 3, block=2).collect()}
+    for q in (0, 20, 40):
+        order = sorted((k for k in range(60) if k not in (q, 42)), key=lambda k: (-cosine[q, k], k))
+        assert [best[q, r] for r in (1, 2, 3)] == order[:3]
+
+
+def test_hash_lists_agree_at_every_place(spark):
+    rows = spark.createDataFrame([(1, [0, 255]), (2, [1, 254]), (3, [1, 0]), (4, [1]), (5, []), (6, [0, 255, 7])], "id long, codes array<bigint>")
+    assert [(r.a, r.b) for r in dedup.hash_list_pairs(rows, "id", "codes").collect()] == [(1, 2)]
+    with pytest.raises(ValueError):
+        dedup.hamming_pairs(rows.withColumn("c", F.get("codes", 0)), "id", "c", 12)
+
+
 def test_adjudication(spark):
     reviews = spark.createDataFrame([("r1", "a", "accept"), ("r1", "b", "accept"), ("r2", "a", "accept"), ("r2", "b", "reject"), ("r3", "a", "reject")], "record_id string, reviewer string, label string")
     decisions = spark.createDataFrame([("r2", "reject"), ("r9", "accept")], "record_id string, label string")

@@ -48,13 +48,54 @@ def test_promote_refuses_to_replace(spark, tmp_path):
 
 
 def test_stream_upserts_count_once(spark, tmp_path):
-    src, table = f"{tmp_path}/src", f"{tmp_path}/table"
-    spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int").coalesce(1).write.parquet(src)
-    for rows in ([], [("a", 5), ("c", 3)]):
-        if rows:
-            spark.createDataFrame(rows, "k string, v int").coalesce(1).write.mode("append").parquet(src)
-        incremental.stream_upserts(spark.readStream.schema("k string, v int").parquet(src), table, "k", f"{tmp_path}/ck").awaitTermination()
-    assert {(r.k, r.v) for r in spark.read.parquet(f"{table}/version=1").collect()} == {("a", 5), ("b", 2), ("c", 3)}
+    src, table, ddl = f"{tmp_path}/src", f"{tmp_path}/table", "k string, v int, at int"
+    batches = [[("a", 1, 1), ("b", 2, 1), ("b", 9, 0)], [("a", 5, 2), ("c", 3, 1)], [("a", 7, 1)]]
+    for rows in batches:
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(src)
+        incremental.stream_upserts(spark.readStream.schema(ddl).parquet(src), table, "k", f"{tmp_path}/ck", "at", parts=4).awaitTermination()
+    want = {("a", 5, 2), ("b", 2, 1), ("c", 3, 1)}
+    assert {(r.k, r.v, r["at"]) for r in incremental.upserted(spark, table).collect()} == want
+    # Another checkpoint starts from its first batch, but not without the table's past.
+    other = f"{tmp_path}/other"
+    spark.createDataFrame([("d", 4, 1)], ddl).write.parquet(other)
+    for _ in range(2):
+        incremental.stream_upserts(spark.readStream.schema(ddl).parquet(other), table, "k", f"{tmp_path}/ck2", "at", parts=4).awaitTermination()
+    assert {(r.k, r.v, r["at"]) for r in incremental.upserted(spark, table).collect()} == want | {("d", 4, 1)}
+
+
+def test_shards_go_by_number(spark, tmp_path):
+    for n, folder in ((9, "shard_9"), (10, "shard_10"), (11, "uploaded/shard_11")):
+        rows = [("r", str(n)), (f"only{n}", str(n))]
+        writers.write_typed(spark.createDataFrame(rows, "record_id string, video_id string"), "events", f"{tmp_path}/{folder}/events.parquet")
+    got = {r.record_id: r.video_id for r in readers.read_shards(spark, str(tmp_path), "events").collect()}
+    assert got == {"r": "11", "only9": "9", "only10": "10", "only11": "11"}
+    assert readers.read_shards(spark, str(tmp_path), "clips").count() == 0
+    counts = readers.footer_counts(spark, f"{tmp_path}/shard_*/events.parquet").agg(F.sum("rows")).first()[0]
+    assert counts == 4
+
+
+def test_only_finished_videos_are_read(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "events.jsonl").write_text(f'{{"record_id": "{name}"}}\n')
+    (tmp_path / "a" / "manifest.json").write_text("{}")
+    assert [r.record_id for r in readers.read_videos(spark, str(tmp_path), "events").collect()] == ["a"]
+
+
+def test_labels_and_inputs_of_each_form(spark, tmp_path):
+    (tmp_path / "l.csv").write_text("record_id,label\nr1,Yes\nr2,maybe\nr3,0\n")
+    (tmp_path / "l.jsonl").write_text('{"record_id": "r1", "label": "accept"}\n')
+    (tmp_path / "c.csv").write_text("record_id,label\nr1,Pan Left\nr2,\n")
+    (tmp_path / "in.csv").write_text('url,title\n"http://a/x, y",t\nhttp://b,u\nhttp://b,v\n')
+    (tmp_path / "dir").mkdir()
+    (tmp_path / "dir" / "b.mp4").write_text("1")
+    (tmp_path / "dir" / "a.mp4").write_text("2")
+    assert [(r.record_id, r.label) for r in readers.read_labels(spark, f"{tmp_path}/l.csv").collect()] == [("r1", True), ("r3", False)]
+    assert readers.read_labels(spark, f"{tmp_path}/l.jsonl").first().label is True
+    assert [tuple(r) for r in readers.read_camera_labels(spark, f"{tmp_path}/c.csv").collect()] == [("r1", "pan_left")]
+    assert [r.input for r in readers.read_inputs(spark, f"{tmp_path}/in.csv").collect()] == ["http://a/x, y", "http://b"]
+    assert [r.input.rsplit("/", 1)[1] for r in readers.read_inputs(spark, f"{tmp_path}/dir").collect()] == ["a.mp4", "b.mp4"]
+    assert [r.path.rsplit("/", 1)[1] for r in readers.listed(spark, str(tmp_path), without=("dir", "l.csv", "l.jsonl")).collect()] == ["c.csv", "in.csv"]
 
 
 def test_text_functions(spark):
