@@ -17,8 +17,8 @@ def unit_hash(salt: str, key: Column) -> Column:
 
 
 def numbered(prefix: str, number: Column, width: int = 3) -> Column:
-    """Like seq_001."""
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+    """Like seq_001; a longer number keeps its digits."""
+    return F.concat(F.lit(prefix), F.format_string(f"%0{width}d", number.cast("bigint")))
 
 
 def bits(hex16: Column) -> Column:

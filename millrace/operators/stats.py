@@ -58,7 +58,7 @@ def top(counts: DataFrame, k: int, key: str = "value") -> DataFrame:
 
 def code_counts(records: DataFrame, codes: str, length: int = 60) -> DataFrame:
     """Counts of the codes in an array column, cut to ``length`` characters."""
-    return records.select(F.substring(F.explode(codes), 1, length).alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    return records.select(F.explode(codes).alias("code")).groupBy(F.substring("code", 1, length).alias("value")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def coverage(records: DataFrame, dims: dict[str, Column], hours: Column) -> DataFrame:

@@ -2,34 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import captions, ids, interval, text
+from ..functions import captions, interval, text
 from ..functions.reasons import reasons
-from ..operators import agreement, curation, dedup, graph, motion, ocr, policy, questions, release, stats, temporal
+from ..operators import agreement, curation, dedup, motion, ocr, policy, questions, release, stats, temporal
 from .. import schema
-from ..runtime import durable, read, spread, tune
+from ..runtime import durable, read, spread
 from ..streaming import incremental
+from .registry import ORACLES, QUERIES, query  # noqa: F401
 from .views import SCENES, TIMELINE, norm_sql, scenes, timeline
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = lambda spark, sf_dir: f(tune(spark), sf_dir)
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
 def _hash_sql(salt: str, key: str) -> str:
     return f"('0x' || substr(sha1('{salt}|' || {key}), 1, 12))::BIGINT / 281474976710656.0"
 
@@ -100,22 +83,6 @@ def near_duplicates_minhash(spark, sf_dir):
     return dedup.minhash_join(docs, "doc_id", F.col("words"), 0.8, rows=64)
 
 
-_SIGN = "(SELECT vec_id, list_sum(list_transform(range(63), lambda i: CASE WHEN embedding[i + 1] > 0 THEN (1::UBIGINT << i)::HUGEINT ELSE 0 END)) + CASE WHEN embedding[64] > 0 THEN 9223372036854775808::HUGEINT ELSE 0 END AS code FROM embeddings)"
-_HAMMING = f"codes AS {_SIGN}, near AS (SELECT a.vec_id AS a, b.vec_id AS b, bit_count(xor(a.code::UBIGINT, b.code::UBIGINT))::INT AS distance FROM codes a JOIN codes b ON a.vec_id < b.vec_id WHERE bit_count(xor(a.code::UBIGINT, b.code::UBIGINT)) <= 12)"
-
-
-@query(f"WITH {_HAMMING} SELECT a, b, distance FROM near")
-def hamming_neighbours(spark, sf_dir):
-    codes = read(spark, sf_dir, "embeddings").select("vec_id", ids.sign_bits(F.col("embedding")).alias("code"))
-    return dedup.hamming_pairs(codes, "vec_id", "code", distance=12)
-
-
-@query(f"WITH RECURSIVE {_HAMMING}, e AS (SELECT a, b FROM near UNION SELECT b, a FROM near), r AS (SELECT a AS node, a AS reach FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.reach = e.a) SELECT node, min(reach) AS root FROM r GROUP BY node")
-def duplicate_components(spark, sf_dir):
-    codes = read(spark, sf_dir, "embeddings").select("vec_id", ids.sign_bits(F.col("embedding")).alias("code"))
-    return graph.connected_components(dedup.hamming_pairs(codes, "vec_id", "code", distance=12), "a", "b")
-
-
 @query("WITH q AS (SELECT vec_id AS query, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 20 = 0), s AS (SELECT query, vec_id AS id, list_cosine_similarity(q.e, embedding::DOUBLE[]) AS c FROM q, embeddings WHERE query <> vec_id), r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY c DESC, id) AS rank FROM s) SELECT query, id, round(c, 6) AS cosine, rank FROM r WHERE rank <= 5")
 def cosine_top_k(spark, sf_dir):
     vectors = read(spark, sf_dir, "embeddings")
@@ -200,11 +167,6 @@ def new_entities(spark, sf_dir):
     return temporal.new_entities(scenes(spark, sf_dir), order="scene_id").select("video_id", "scene_id", F.array_join(F.array_sort("appeared"), ",").alias("appeared"))
 
 
-@query()
-def sequence_runs(spark, sf_dir):
-    return temporal.bounded_runs(scenes(spark, sf_dir)).withColumn("scene_ids", F.array_join("scene_ids", ","))
-
-
 @query(f"WITH {TIMELINE}, m AS (SELECT *, max(end_time) OVER (PARTITION BY video_id, event_type ORDER BY start_time, end_time ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM timeline), g AS (SELECT *, sum(CASE WHEN reach IS NULL OR start_time > reach + 3600 THEN 1 ELSE 0 END) OVER (PARTITION BY video_id, event_type ORDER BY start_time, end_time ROWS UNBOUNDED PRECEDING) AS island FROM m) SELECT video_id, event_type, island, min(start_time) AS start_time, max(end_time) AS end_time, count(*) AS n FROM g GROUP BY ALL")
 def gap_islands(spark, sf_dir):
     return temporal.gap_islands(timeline(spark, sf_dir), ["video_id", "event_type"], 3600.0)
@@ -314,7 +276,10 @@ def cohens_kappa(spark, sf_dir):
     return agreement.cohens_kappa(_labelled(spark, sf_dir), "predicted", "actual").select("n", F.round("agreement", 9).alias("agreement"), F.round("kappa", 9).alias("kappa"))
 
 
-@query()
+@query("""WITH z AS (SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY 1), h AS (SELECT *, least(60, sum(n) OVER ()) * n / sum(n) OVER () AS share FROM z), s AS (SELECT *, unnest(range(1, least(n, ceil(share) + 1)::BIGINT + 1)) AS seat FROM h),
+r AS (SELECT *, row_number() OVER (ORDER BY seat > 1, CASE WHEN seat > 1 THEN round(share - seat + 1, 9) END DESC NULLS LAST, n DESC, lang) AS r FROM s), p AS (SELECT lang, count(*) AS places FROM r WHERE r <= 60 GROUP BY 1),
+d AS (SELECT doc_id, lang, source, sha1('1234|' || doc_id) AS u FROM documents), q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY u, doc_id) AS k FROM d WHERE lang IS NOT NULL), c AS (SELECT q.*, row_number() OVER (ORDER BY u, doc_id) - 1 AS t, count(*) OVER () AS m FROM q JOIN p USING (lang) WHERE k <= places)
+SELECT doc_id, lang, source, CASE WHEN t < round(0.2 * m) THEN 'reviewer_a,reviewer_b' WHEN t % 2 = 0 THEN 'reviewer_a' ELSE 'reviewer_b' END AS assigned_to FROM c""")
 def stratified_sample(spark, sf_dir):
     return agreement.stratified_sample(read(spark, sf_dir, "documents").select("doc_id", "lang", "source"), "lang", "doc_id", 60).withColumn("assigned_to", F.array_join("assigned_to", ","))
 
@@ -425,14 +390,6 @@ def rights_gate(spark, sf_dir):
     return read(spark, sf_dir, "supplier").select("s_suppkey", F.array_join(problems, ",").alias("problems"))
 
 
-@query("SELECT 'duplicate_ids' AS gate, CASE WHEN count(*) = 0 THEN 'passed' ELSE 'failed' END AS state, count(*) AS n FROM (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) UNION ALL SELECT 'known_customers', CASE WHEN count(*) = 0 THEN 'passed' ELSE 'failed' END, count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)")
-def release_gates(spark, sf_dir):
-    lines = read(spark, sf_dir, "lineitem").select(F.struct("l_orderkey", "l_linenumber").alias("record_id"))
-    orders = read(spark, sf_dir, "orders").select("o_custkey")
-    unknown = orders.join(read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_anti")
-    return release.gates(duplicate_ids=release.repeated_ids(lines), known_customers=unknown)
-
-
 @query("SELECT o_orderkey AS record_id, 720 AS target, CASE WHEN short >= 720 THEN '720p' WHEN short >= 576 THEN 'native_576' WHEN short >= 480 THEN 'native_480_576' WHEN short >= 360 THEN 'lowres_360' ELSE 'excluded_lowres' END AS bucket FROM (SELECT o_orderkey, least(300 + o_custkey % 900, 400 + o_orderkey % 700) AS short FROM orders)")
 def resolution_buckets(spark, sf_dir):
     orders = read(spark, sf_dir, "orders")
@@ -539,8 +496,3 @@ def label_islands(spark, sf_dir):
 @query("WITH r AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS r, count(*) OVER (PARTITION BY user_id) AS n FROM events), c AS (SELECT user_id, avg(value) FILTER (r > n - greatest(1, n // 4)) - avg(value) FILTER (r <= greatest(1, n // 4)) AS change FROM r GROUP BY ALL) SELECT user_id, round(change, 6) AS change, CASE WHEN change >= 20 THEN 'rising' WHEN change <= -20 THEN 'falling' ELSE 'steady' END AS trend FROM c")
 def brightness_trend(spark, sf_dir):
     return motion.trend(read(spark, sf_dir, "events"), "value", "user_id", "ts").withColumn("change", F.round("change", 6))
-
-
-@query("SELECT user_id, round(avg(value), 6) AS value_mean, median(value) AS value_median FROM events GROUP BY user_id")
-def measurement_summaries(spark, sf_dir):
-    return motion.summaries(read(spark, sf_dir, "events"), ["user_id"], ["value"], []).withColumn("value_mean", F.round("value_mean", 6))
