@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -73,7 +75,13 @@ def specificity(text: Column) -> Column:
 
 
 def format_seconds(t: Column, decimals: int = 1) -> Column:
-    return F.format_string(f"%.{decimals}f seconds", t)
+    """Half a last digit goes to the even one, which Java's own format doesn't do."""
+    return F.format_string(f"%.{decimals}f seconds", F.bround(t, decimals))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def clock(t: Column) -> Column:

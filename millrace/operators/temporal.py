@@ -42,22 +42,34 @@ def neighbour_relations(events: DataFrame, k: int = 6, tolerance: float = 0.25,
     return out
 
 
-def long_range_links(events: DataFrame, entity: str = "entity", min_gap: float = 20.0, k: int = 3) -> DataFrame:
+def long_range_links(events: DataFrame, entity: str = "entity", min_gap: float = 20.0, k: int = 3, scene: str | None = None) -> DataFrame:
     """(video_id, event_a, event_b, gap_seconds): for each event its nearest k later ones of one of its entities.
 
-    ``events`` has a row for each event and entity. A link needs a gap of ``min_gap`` at least.
-    Starts and the earliest times at which a link may begin are merged in one window, which
-    numbers the starts; an event's candidates are the k numbers after its own place, so they are
-    found by equality and never by comparing all later events.
+    ``events`` has a row for each event and entity. A link needs a gap of ``min_gap`` at least
+    and, if ``scene`` names a column, another scene. Starts and the earliest times at which a
+    link may begin are merged in one window, which numbers the starts; an event's candidates are
+    the k numbers after its own place, so they are found by equality and never by comparing all
+    later events. Starts are numbered within their scene too: of each of the k next numbers that
+    fall in the event's own scene, one more is looked at.
     """
+    own = F.col(scene).cast("string") if scene else F.lit(None).cast("string")
     first = F.col("end_time") + min_gap
-    starts = events.select("video_id", entity, "event_id", "start_time", F.lit(None).cast("double").alias("from"), F.col("start_time").alias("t"), F.lit(1).alias("kind"))
-    asks = events.select("video_id", entity, "event_id", "start_time", F.col("end_time").alias("from"), first.alias("t"), F.lit(0).alias("kind"))
+    starts = events.select("video_id", entity, "event_id", "start_time", F.lit(None).cast("double").alias("from"), F.col("start_time").alias("t"), F.lit(1).alias("kind"), own.alias("sc"))
+    asks = events.select("video_id", entity, "event_id", "start_time", F.col("end_time").alias("from"), first.alias("t"), F.lit(0).alias("kind"), own.alias("sc"))
     w = Window.partitionBy("video_id", entity).orderBy(F.col("t"), F.col("kind"), F.col("event_id"))
     ranked = starts.unionByName(asks).withColumn("place", F.sum("kind").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    targets = ranked.filter("kind = 1").select("video_id", entity, F.col("event_id").alias("event_b"), F.col("start_time").alias("b_start"), "place")
-    wanted = ranked.filter("kind = 0").select("video_id", entity, F.col("event_id").alias("event_a"), F.col("start_time").alias("a_start"), F.col("from").alias("a_end"), F.explode(F.sequence(F.col("place") + 1, F.col("place") + k)).alias("place"))
-    linked = wanted.join(targets, ["video_id", entity, "place"])
+    reach = F.lit(k)
+    if scene:
+        # How many later starts lie in the event's own scene: so many numbers more may be needed.
+        inside = Window.partitionBy("video_id", entity, "sc").orderBy(F.col("t").desc(), F.col("kind").desc(), F.col("event_id").desc())
+        ranked = ranked.withColumn("more", F.sum("kind").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+        reach = F.lit(k) + F.col("more")
+    targets = ranked.filter("kind = 1").select("video_id", entity, F.col("event_id").alias("event_b"), F.col("start_time").alias("b_start"), F.col("sc").alias("b_sc"), "place")
+    wanted = ranked.filter("kind = 0").select("video_id", entity, F.col("event_id").alias("event_a"), F.col("start_time").alias("a_start"), F.col("from").alias("a_end"), F.col("sc").alias("a_sc"), F.explode(F.sequence(F.col("place") + 1, F.col("place") + reach)).alias("place"))
+    linked = wanted.join(targets, ["video_id", entity, "place"]).filter("a_sc IS NULL OR b_sc IS NULL OR a_sc <> b_sc")
+    if scene:
+        per = Window.partitionBy("video_id", entity, "event_a").orderBy("place")
+        linked = linked.withColumn("n", F.row_number().over(per)).filter(F.col("n") <= k)
     near = linked.select("video_id", "event_a", "event_b", "b_start", "a_end").distinct()
     best = Window.partitionBy("video_id", "event_a").orderBy("b_start", "event_b")
     return near.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k).select("video_id", "event_a", "event_b", (F.col("b_start") - F.col("a_end")).alias("gap_seconds"))
