@@ -60,7 +60,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = _substring.substring_dedup(_documents(spark, sf_dir))
+    found = _substring.incremental_dedup(_documents(spark, sf_dir))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 

@@ -1,16 +1,16 @@
 """Substring dedup over a log-structured index of window fingerprints.
 
-Documents are dealt to shards of a bounded number of characters. Each shard turns its windows
-into a sorted immutable run of (128-bit fingerprint, smallest document); runs are cut into
-buckets by fingerprint range, and each bucket is one merge of all runs' pieces: those of the
-batch at hand and, when an index is given, those of history. A merge answers each run with one
-bit an entry: does a smaller document start this window? Answers are a hundredth of the index,
-so that neither windows nor texts travel back.
-
-Most windows occur once. Before any is indexed, a sieve finds those that cannot repeat: of the
-nine five-word fingerprints inside a window the smallest is kept, which two equal windows must
-share, and only windows whose smallest one occurs in two documents go on. The sieve's runs are
-about a fifth of the words.
+The index of all earlier batches is a table of sorted immutable runs, in buckets by ranges of
+the fingerprint: of each window its 128-bit fingerprint and smallest document, and of each
+window's smallest five-word fingerprint (a sieve) that alone. A new batch is dealt to shards of a
+bounded number of characters; each makes sorted runs of its own, and one merge a bucket joins
+them with history's. A merge answers each run with one bit an entry: does a smaller document
+start this window? Answers are a hundredth of the index, so that neither windows nor texts
+travel back. At the end the batch's runs and history's are compacted to one run a bucket.
+
+Most windows occur once. Two equal windows share the smallest of the nine five-word
+fingerprints inside them, so a batch first merges its sieve, a fifth of its words, with
+history's, and only windows whose smallest one is in history or in two documents go on.
 
 Within a shard every fingerprint has one entry, so a passage that a third of all documents
 hold costs its bucket one entry a shard, not one a document. Fingerprints match on 64 bits and
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,16 +31,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from ..runtime import shuffle_width
+from ..runtime import durable, shuffle_width
 from .common import as_bytes, struct
 
 WINDOW, GRAM = 13, 5
-SHARD_CHARS = 8_000_000
+SHARD_CHARS = 4_000_000
+#: Entries of a bucket, about, and of one stored piece of a run at most: cells of 8 MB.
+BUCKET_ENTRIES, RUN_ENTRIES = 4_000_000, 1_000_000
+GRAMS, WINDOWS = 0, 1
 CACHED_WORDS = 400_000
 MULTIPLIERS = tuple(np.uint64(int.from_bytes(hashlib.sha256(f"window polynomial {k}".encode()).digest()[:8], "little") | 1) for k in range(3))
 LAST = np.iinfo(np.int64).max
 
-BLOB = struct(("bucket", "int"), ("shard", "int"), ("first", "binary"), ("second", "binary"), ("docs", "binary"))
+BLOB = struct(("kind", "int"), ("bucket", "int"), ("shard", "int"), ("first", "binary"), ("second", "binary"), ("docs", "binary"))
 ANSWER = struct(("shard", "int"), ("step", "int"), ("bucket", "int"), ("bits", "binary"))
 
 
@@ -158,13 +162,13 @@ def _answer(first: np.ndarray, answers: dict[tuple[int, int], bytes], step: int,
     return out
 
 
-def _pieces(shard: int, first: np.ndarray, second: np.ndarray | None, docs: np.ndarray | None, flags: np.ndarray | None, buckets: int) -> list[dict]:
+def _pieces(kind: int, shard: int, first: np.ndarray, second: np.ndarray | None, docs: np.ndarray | None, flags: np.ndarray | None, buckets: int) -> list[dict]:
     cuts = _cuts(first, buckets)
-    return [
-        {"bucket": int(k), "shard": shard, "first": first[a:b].tobytes(), "second": np.packbits(flags[a:b]).tobytes() if second is None else second[a:b].tobytes(), "docs": None if docs is None else zstandard.compress(docs[a:b].tobytes(), 1)}
-        for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))
-        if b > a
-    ]
+    return [_cell(kind, k, shard, first[a:b], None if second is None else second[a:b], None if docs is None else docs[a:b], None if flags is None else flags[a:b]) for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a]
+
+
+def _cell(kind: int, bucket: int, shard: int, first: np.ndarray, second: np.ndarray | None, docs: np.ndarray | None, flags: np.ndarray | None) -> dict:
+    return {"kind": kind, "bucket": bucket, "shard": shard, "first": first.tobytes(), "second": (np.packbits(flags) if second is None else second).tobytes(), "docs": None if docs is None else zstandard.compress(docs.tobytes(), 1)}
 
 
 def _tabled(rows: list[dict], schema) -> pa.Table:
@@ -214,12 +218,36 @@ def _merge_windows(table: pa.Table) -> pa.Table:
 
 
 def _merge_runs(table: pa.Table) -> pa.Table:
-    """One bucket of several runs as a single run."""
-    firsts, second, docs = _opened(table)
-    first = np.concatenate(firsts)
-    order, starts = _runs(first, second)
-    at = order[starts]
-    return _tabled([{"bucket": table.column("bucket")[0].as_py(), "shard": -1, "first": first[at].tobytes(), "second": second[at].tobytes(), "docs": zstandard.compress(np.minimum.reduceat(docs[order], starts).tobytes(), 1)}], BLOB)
+    """One bucket of several runs as a single run, in pieces of a bounded size."""
+    kind, bucket = table.column("kind")[0].as_py(), table.column("bucket")[0].as_py()
+    second = docs = flags = None
+    if kind == GRAMS:
+        first = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("first").to_pylist()]))
+        flags = np.zeros(len(first), bool)
+    else:
+        firsts, second, docs = _opened(table)
+        first = np.concatenate(firsts)
+        order, starts = _runs(first, second)
+        first, second, docs = first[order[starts]], second[order[starts]], np.minimum.reduceat(docs[order], starts)
+    part = lambda x, at: None if x is None else x[at : at + RUN_ENTRIES]
+    return _tabled([_cell(kind, bucket, -1, *(part(x, at) for x in (first, second, docs, flags))) for at in range(0, len(first), RUN_ENTRIES)], BLOB)
+
+
+def _dealt_anew(buckets: int):
+    """Stored runs cut to another number of buckets: each is a range, so that pieces only fall apart or stand together."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                first = np.frombuffer(row["first"], np.uint64)
+                second = docs = flags = None
+                if row["kind"] == GRAMS:
+                    flags = np.zeros(len(first), bool)
+                else:
+                    second, docs = np.frombuffer(row["second"], np.uint64), np.frombuffer(zstandard.decompress(row["docs"]), np.int64)
+                yield from _tabled(_pieces(row["kind"], -1, first, second, docs, flags, buckets), BLOB).to_batches()
+
+    return cut
 
 
 def _sharded(docs: DataFrame, id_col: str, text_col: str, shards: int) -> DataFrame:
@@ -237,20 +265,30 @@ def shard_count(docs: DataFrame, text_col: str = "text", shard_chars: int = SHAR
     return max(shuffle_width(docs.sparkSession), -(-total // shard_chars))
 
 
-def window_runs(docs: DataFrame, buckets: int, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, shards: int | None = None) -> DataFrame:
-    """The batch's windows as one sorted run a bucket: what ``history`` takes, to be written as Parquet."""
-    dealt = _sharded(docs, id_col, text_col, shards or shard_count(docs, text_col))
+def index_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, shards: int | None = None, buckets: int | None = None, history: DataFrame | None = None) -> DataFrame:
+    """What ``history`` takes, to be written as Parquet: a batch's sorted runs, compacted with earlier ones.
+
+    The number of buckets follows the entries of both, so that a bucket stays of one size
+    however many batches there were; earlier runs of fewer buckets are cut to it.
+    """
+    shards = shards or shard_count(docs, text_col)
+    if buckets is None:
+        entries = (history.agg(F.sum(F.length("first") / 8)).first()[0] or 0) if history is not None else 0
+        buckets = max(shards, -(-int(entries) // BUCKET_ENTRIES))
 
     def run(table: pa.Table) -> pa.Table:
-        _, _, first, second, least = _entries(_Shard(table, window), None, buckets)
-        return _tabled(_pieces(-1, first, second, least, None, buckets), BLOB)
+        shard = _Shard(table, window)
+        _, grams, _ = _sieve(shard)
+        _, _, first, second, least = _entries(shard, None, buckets)
+        return _tabled([*_pieces(GRAMS, -1, grams, None, None, np.zeros(len(grams), bool), buckets), *_pieces(WINDOWS, -1, first, second, least, None, buckets)], BLOB)
 
-    return compact(dealt.groupBy("shard").applyInArrow(run, BLOB))
+    runs = _sharded(docs, id_col, text_col, shards).groupBy("shard").applyInArrow(run, BLOB)
+    return compact(runs if history is None else runs.unionAll(history.select(*BLOB.names).mapInArrow(_dealt_anew(buckets), BLOB)))
 
 
 def compact(runs: DataFrame) -> DataFrame:
-    """Several runs merged into one; every fingerprint keeps its smallest document."""
-    return runs.groupBy("bucket").applyInArrow(_merge_runs, BLOB)
+    """Several runs of equal buckets merged into one; every fingerprint keeps its smallest document."""
+    return runs.groupBy("kind", "bucket").applyInArrow(_merge_runs, BLOB)
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, history: DataFrame | None = None, buckets: int | None = None, shards: int | None = None) -> DataFrame:
@@ -258,54 +296,67 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Words stand between ASCII blanks. A word goes if a window of ``window`` words covers it
     whose word sequence also starts in a document of smaller id, in this table or in
-    ``history`` (runs from ``window_runs`` or ``compact``, of the same number of ``buckets``).
-    Windows are judged on the input. ``kept_text`` joins what is left by one space; ``spans``
-    lists the removed runs of words. Ids are integers; a null id is larger than any other, and
-    rows that share an id never remove each other's words. Null and empty texts have no words.
+    ``history`` (runs from ``index_runs``, of any number of buckets). Windows are judged on the
+    input. ``kept_text`` joins what is left by one space; ``spans`` lists the removed runs of
+    words. Ids are integers, others are refused; a null id is larger than any other, and rows
+    that share an id never remove each other's words. Null and empty texts have no words. Other
+    columns, whatever their names, aren't read; an empty table gives none.
     """
     shards = shards or shard_count(docs, text_col)
     buckets = buckets or shards
     dealt = _sharded(docs, id_col, text_col, shards)
-    sieved = history is None
 
     def sieve(table: pa.Table) -> pa.Table:
         _, values, flags = _sieve(_Shard(table, window))
-        return _tabled(_pieces(table.column("shard")[0].as_py(), values, None, None, flags, buckets), BLOB)
+        return _tabled(_pieces(GRAMS, table.column("shard")[0].as_py(), values, None, None, flags, buckets), BLOB)
 
-    def indexed(table: pa.Table, answers: dict | None) -> pa.Table:
+    def index(table: pa.Table, asked: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _tabled([], BLOB)
-        _, _, first, second, least = _entries(_Shard(table, window), answers, buckets)
-        return _tabled(_pieces(table.column("shard")[0].as_py(), first, second, least, None, buckets), BLOB)
-
-    def index(table: pa.Table) -> pa.Table:
-        return indexed(table, None)
-
-    def index_sieved(table: pa.Table, asked: pa.Table) -> pa.Table:
-        return indexed(table, _asked(asked))
+        _, _, first, second, least = _entries(_Shard(table, window), _asked(asked), buckets)
+        return _tabled(_pieces(WINDOWS, table.column("shard")[0].as_py(), first, second, least, None, buckets), BLOB)
 
     schema = struct(("id", "bigint"), ("n_words", "bigint"), ("n_removed", "bigint"), ("kept_text", "string"), ("spans", "array<struct<start: bigint, end: bigint>>"))
 
     def strip(table: pa.Table, asked: pa.Table) -> pa.Table:
-        return _stripped(table, _asked(asked), window, sieved, buckets, schema)
+        return _stripped(table, _asked(asked), window, buckets, schema)
 
-    told = None
-    if sieved:
-        told = dealt.groupBy("shard").applyInArrow(sieve, BLOB).groupBy("bucket").applyInArrow(_merge_sieve, ANSWER)
-        runs = dealt.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(index_sieved, BLOB)
-    else:
-        runs = dealt.groupBy("shard").applyInArrow(index, BLOB).unionAll(history.select(*BLOB.names))
-    answers = runs.groupBy("bucket").applyInArrow(_merge_windows, ANSWER)
-    if told is not None:
-        answers = answers.unionAll(told)
+    def merged(runs: DataFrame, kind: int, merge) -> DataFrame:
+        """Answers to the batch's runs, merged bucket by bucket with those of history."""
+        if history is not None:
+            runs = runs.unionAll(history.filter(F.col("kind") == kind).select(*BLOB.names).mapInArrow(_dealt_anew(buckets), BLOB))
+        return runs.groupBy("bucket").applyInArrow(merge, ANSWER)
+
+    told = merged(dealt.groupBy("shard").applyInArrow(sieve, BLOB), GRAMS, _merge_sieve)
+    runs = dealt.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(index, BLOB)
+    answers = merged(runs, WINDOWS, _merge_windows).unionAll(told)
     return dealt.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(strip, schema).withColumnRenamed("id", id_col)
 
 
-def _stripped(table: pa.Table, answers: dict, window: int, sieved: bool, buckets: int, schema) -> pa.Table:
+def incremental_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, fractions: tuple[float, ...] = (0.125,)) -> DataFrame:
+    """``substring_dedup`` of a table taken batch by batch in order of id, each against the index of those before.
+
+    The first batch ends at about the first of the ``fractions`` of ids, and so on; rows without
+    an id come last. The result is that of the whole table at once. After each batch but the
+    last its runs are compacted into the index, which is kept in the shared folder.
+    """
+    bounds = sorted(set(docs.select(F.col(id_col).cast("double").alias("i")).approxQuantile("i", list(fractions), 0.01))) if fractions else []
+    own, history, results = F.col(id_col), None, []
+    edges = [None, *bounds, None]
+    for low, high in zip(edges[:-1], edges[1:], strict=True):
+        inside = F.lit(True) if low is None else F.coalesce(own >= low, F.lit(True))
+        batch = docs.filter(inside & (F.lit(True) if high is None else F.coalesce(own < high, F.lit(False))))
+        results.append(substring_dedup(batch, id_col, text_col, window, history))
+        if high is not None:
+            history = durable(index_runs(batch, id_col, text_col, window, history=history))
+    return reduce(DataFrame.unionAll, results)
+
+
+def _stripped(table: pa.Table, answers: dict, window: int, buckets: int, schema) -> pa.Table:
     if not table.num_rows:
         return _tabled([], schema)
     shard = _Shard(table, window)
-    chosen, entry, first, _, least = _entries(shard, answers if sieved else None, buckets)
+    chosen, entry, first, _, least = _entries(shard, answers, buckets)
     smaller = _answer(first, answers, 2, buckets)
     hit = chosen[smaller[entry] | (shard.docs[shard.row[chosen]] > least[entry])] if len(chosen) else chosen
     edge = np.zeros(len(shard.codes) + window + 1, np.int64)

@@ -142,12 +142,21 @@ def test_substring_dedup_of_clashing_names_and_many_null_ids(spark):
 
 
 def test_substring_history_acts_as_one_table(spark):
+    """Runs of three batches, kept with different numbers of buckets and small pieces, then a fourth against them."""
     rows = corpus()
-    old, new = rows[:15], rows[15:]
-    runs = [substring.window_runs(table(spark, part), buckets=4, shards=3) for part in (old[:7], old[7:])]
-    history = substring.compact(runs[0].unionAll(runs[1]))
-    got = substring.substring_dedup(table(spark, new), history=history, buckets=4, shards=3).select("doc_id", "n_words", "n_removed", "kept_text")
+    history = None
+    for part, buckets in ((rows[:7], 4), (rows[7:11], 2), (rows[11:15], 7)):
+        history = substring.index_runs(table(spark, part), buckets=buckets, shards=3, history=history)
+    got = substring.substring_dedup(table(spark, rows[15:]), history=history, buckets=5, shards=3).select("doc_id", "n_words", "n_removed", "kept_text")
     assert plain(got.collect()) == plain(removal(rows)[15:])
+    assert history.select("kind", "bucket").distinct().count() == history.count() <= 14
+
+
+@pytest.mark.parametrize("fractions", [(), (0.3,), (0.2, 0.5, 0.8)])
+def test_batches_act_as_one_table(spark, fractions):
+    got = substring.incremental_dedup(table(spark), fractions=fractions).select("doc_id", "n_words", "n_removed", "kept_text")
+    assert plain(got.collect()) == plain(removal(corpus()))
+    assert substring.incremental_dedup(table(spark, []), fractions=fractions).count() == 0
 
 
 def folded(t):
