@@ -13,8 +13,8 @@ from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DataType, Doub
 #: Bytes of a folded word: digits, a-z and every byte of a non-ASCII character. A-Z fold to a-z.
 FOLD = bytes((b + 32) if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
-#: The same words by a regular expression, over lower-cased text.
-WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between the same words of lower-cased text, as a regular expression.
+BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 

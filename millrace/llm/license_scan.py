@@ -19,7 +19,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, fold_ascii
+from .common import BETWEEN_WORDS, fold_ascii
 
 #: Fixed values of the query contract: phrases whose every place counts.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -69,8 +69,8 @@ class Entry:
 def index(notices: list[tuple[str, str, tuple[str, ...]]] | None = None) -> list[Entry]:
     """An entry for each notice: its rarest words and its key phrases, each with its place in the notice.
 
-    Rarest are the words of the highest inverse document frequency among the notices; the longer
-    word wins a tie. A word that stands twice in a notice has no single place and is no anchor.
+    Rarest are the words of the highest inverse document frequency among the notices; of equal
+    ones the longer, then the later in the alphabet. A word that stands twice in a notice has no single place and is no anchor.
     The weight, 0 to 1, grows with the summed frequency of the key phrases' words.
     """
     notices = notices or NOTICES
@@ -79,7 +79,7 @@ def index(notices: list[tuple[str, str, tuple[str, ...]]] | None = None) -> list
     out = []
     for label, notice, phrases in notices:
         words = notice.split()
-        rare = sorted((w for w in set(words) if words.count(w) == 1), key=lambda w: (-idf[w], -len(w), w))[:ANCHORS]
+        rare = sorted(sorted((w for w in set(words) if words.count(w) == 1), reverse=True), key=lambda w: (-idf[w], -len(w)))[:ANCHORS]
         places = tuple((p, next(k for k in range(len(words)) if words[k : k + len(p.split())] == p.split())) for p in phrases)
         mass = sum(idf[w] for p in phrases for w in p.split())
         out.append(Entry(label, notice, tuple((w, words.index(w)) for w in rare), places, round(1 - 2 ** (-mass / 2), 6), notice in BASE))
@@ -117,11 +117,13 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     table = index(notices)
     vocabulary = F.array(*[F.lit(w) for w in sorted({w for e in table for w, _ in e.anchors})])
-    split = docs.select(F.col(id_col).alias("id"), F.regexp_extract_all(fold_ascii(F.coalesce(F.col(text_col), F.lit(""))), F.lit(WORD_PATTERN), F.lit(0)).alias("words"))
+    split = docs.select(F.col(id_col).alias("id"), F.array_remove(F.split(fold_ascii(F.coalesce(F.col(text_col), F.lit(""))), BETWEEN_WORDS), "").alias("words"))
     marked = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("p"))), lambda h: F.array_contains(vocabulary, h["w"]))
-    # Texts without any anchor, nearly all, are done after one look.
-    hits = F.when(F.arrays_overlap("words", vocabulary), marked)
-    # Both columns are used more than once above, so that the optimiser keeps this step apart.
+    # Of a notice's anchors so many must be there that one at least of these is: texts without any, nearly all, are done.
+    telling = F.array(*[F.lit(w) for w in sorted({w for e in table for w, _ in e.anchors[: len(e.anchors) - AGREE + 1]})])
+    # A row number, always zero or more, keeps the optimiser from working this step out anew at each of its many uses,
+    # as it would to push a filter on the result below it.
+    hits = F.when(F.arrays_overlap("words", telling) & (F.monotonically_increasing_id() >= 0), marked)
     looked = split.select("id", "words", F.size("words").cast("long").alias("n_words"), hits.alias("hits"))
     none = F.array().cast("array<int>")
     found = looked.select("id", "n_words", *[F.when(F.col("hits").isNotNull(), _starts(F.col("words"), F.col("hits"), e)).otherwise(none).alias(f"s{k}") for k, e in enumerate(table)])

@@ -272,3 +272,9 @@ def test_round_trip_of_short_and_giant_texts(spark, tokenizer):
     assert plain(apart.collect()) == plain((i, t or "") for i, t, *_ in rows)
     assert sentencepieces.round_trip(table(spark, [])).count() == 0
     assert sentencepieces.encode(table(spark).withColumn("row", F.lit("clash"))).count() == len(corpus())
+
+
+def test_license_scan_can_be_filtered(spark):
+    """A filter on many of its columns must not be worked out below the scan again and again."""
+    scanned = license_scan.license_scan(table(spark, [(1, "All rights reserved.", None, None, None), (2, "nothing", None, None, None)]))
+    assert [r.doc_id for r in scanned.filter("n_base > 0 OR labels <> '' OR score > 0.5").collect()] == [1]
