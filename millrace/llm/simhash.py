@@ -14,6 +14,9 @@ it, and a code links what arrives, 65 at most, to the smallest of them.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -112,3 +115,82 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def hexed(fp: Column) -> Column:
     """16 lowercase hex digits of a signed fingerprint."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+#: The longer fingerprint of ``near_copies``: 64-bit words, and segments of so many bits.
+LONG_WORDS, SEGMENTS, SEGMENT_BITS = 8, 25, 20
+STEP = 0x9E3779B97F4A7C15
+
+
+def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """The k-th independent 64 bits of each hash."""
+    x = hashes + np.uint64(k * STEP % (1 << 64))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def long_fingerprint(text: bytes | None, width: int) -> np.ndarray:
+    """512 bits of SimHash over the distinct shingles of a text, as 0 and 1; all 0 if there is no word."""
+    words = spaced_words(text.lower() if text else None)
+    ones, n = np.zeros(64 * LONG_WORDS, np.int64), 0
+    if words:
+        seen = np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[k : k + width]), SEED) for k in range(max(1, len(words) - width + 1))), np.uint64))
+        n = len(seen)
+        for at in range(0, n, BLOCK):
+            for k in range(LONG_WORDS):
+                ones[64 * k : 64 * k + 64] += np.unpackbits(_mixed(seen[at : at + BLOCK], k + 1).astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return (2 * ones > n).astype(np.uint8)
+
+
+def bits_at(similarity: float) -> int:
+    """Differing bits of the long fingerprints of two texts whose shingle sets have this Jaccard similarity, as expected.
+
+    Of sets of a size the cosine is 2 j / (1 + j), and a bit differs with the angle's share of a half turn.
+    """
+    return int(64 * LONG_WORDS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, bucket: int = BUCKET) -> DataFrame:
+    """One row per input row: id, component_id, by texts whose shingles agree to about ``similarity``.
+
+    Two 512-bit fingerprints link if they differ in no more bits than ``bits_at`` expects. Such
+    pairs are fetched from 25 tables of segments of 20 bits, where one at least is equal with a
+    chance that grows with their likeness, and their complete distance is verified. Of a segment
+    value with more than ``bucket`` fingerprints, each is verified against the least of them
+    and, by the next segment too, against the least of those that share both, so that no group
+    makes all its pairs. ``component_id`` is the smallest id reachable. Null and empty texts are
+    one group; an empty table gives none; other columns aren't read.
+    """
+
+    def rows(batch: pa.RecordBatch) -> list:
+        codes, cut = [], []
+        weights = 1 << np.arange(SEGMENT_BITS)
+        for text in as_bytes(batch.column(1)):
+            bits = long_fingerprint(text, width)
+            codes.append(np.packbits(bits, bitorder="little").view("<i8").tolist())
+            cut.append((bits[: SEGMENTS * SEGMENT_BITS].reshape(SEGMENTS, SEGMENT_BITS) @ weights).tolist())
+        return [batch.column(0), codes, cut]
+
+    made = struct(("id", docs.schema[id_col].dataType), ("fp", "array<bigint>"), ("cut", "array<int>"))
+    marked = durable(arrow_map(docs.select(F.col(id_col).alias("id"), text_col), made, rows))
+    classes = durable(marked.groupBy("fp").agg(F.min("id").alias("least"), F.first("cut").alias("cut")).withColumn("node", F.monotonically_increasing_id()), marked.count())
+    placed = classes.select("node", "fp", "cut", F.posexplode("cut").alias("segment", "value"))
+    keys = ["segment", "value"]
+    sizes = durable(placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), classes.count() * SEGMENTS // 8)
+    apart = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    most = bits_at(similarity)
+
+    few = placed.join(sizes.filter(F.col("n") <= bucket), keys).select("node", "fp", *keys)
+    met = few.join(few.select(F.col("node").alias("other"), F.col("fp").alias("other_fp"), *keys), keys).filter("node < other")
+    found = [met.filter(apart("fp", "other_fp") <= most).select(F.col("node").alias("src"), F.col("other").alias("dst"))]
+    crowd = sizes.filter(F.col("n") > bucket)
+    if not crowd.isEmpty():
+        many = placed.join(crowd, keys).select("node", "fp", *keys, F.get("cut", (F.col("segment") + 1) % SEGMENTS).alias("next"))
+        for by in (keys, [*keys, "next"]):
+            least = many.groupBy(*by).agg(F.min(F.struct("node", "fp")).alias("l"))
+            found.append(many.join(least, by).filter((F.col("node") != F.col("l.node")) & (apart("fp", "l.fp") <= most)).select(F.col("l.node").alias("src"), F.col("node").alias("dst")))
+    roots = connected_components(reduce(DataFrame.unionAll, found).distinct())
+    joined = classes.join(roots, "node", "left").select("fp", "least", F.coalesce("root", "node").alias("root"))
+    whole = joined.join(joined.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
+    return marked.select("id", "fp").join(whole, "fp").select(F.col("id").alias(id_col), "component_id")

@@ -110,6 +110,28 @@ def test_simhash_of_nothing_and_of_clashing_names(spark):
     assert simhash.near_duplicates(odd).count() == len(corpus())
 
 
+@pytest.mark.parametrize("bucket", [64, 3])
+def test_near_copies_are_found_and_others_left_alone(spark, bucket):
+    """Copies with some words changed, of 0.85 and more by their sets of five words, against brute force."""
+    import random
+
+    r = random.Random(7)
+    rows = [(i, passage(900 + i, 200), None, None, None) for i in range(40)]
+    for i in range(40, 90):
+        words = rows[i % 10][1].split()
+        for _ in range(r.randint(0, 3)):
+            words[r.randrange(len(words))] = "changed"
+        rows.append((i, " ".join(words), None, None, None))
+    rows += [(100, None, None, None, None), (101, "", None, None, None), (None, rows[3][1], None, None, None)]
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t, *_ in rows[:90]}
+    got = {x.doc_id: x.component_id for x in simhash.near_copies(table(spark, rows), bucket=bucket).collect()}
+    like = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.9]
+    assert len(like) > 60 and sum(got[a] == got[b] for a, b in like) / len(like) > 0.95
+    assert len({got[i] for i in range(40)}) == 40 and all(got[i] == i for i in range(10, 40))
+    assert got[100] == got[101] == 100 and got[None] == got[3]
+    assert simhash.near_copies(table(spark, [])).count() == 0
+
+
 def removal(rows):
     starts = defaultdict(set)
     for i, t, *_ in rows:
