@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import audio, camera, captions, media, parsing, text
 from ..functions.reasons import first_reason
-from ..operators import builders, curation, dedup, factory, motion, negatives, ocr, policy, questions, temporal
+from ..operators import builders, curation, dedup, factory, governance, motion, negatives, ocr, policy, questions, temporal
 from ..runtime import read, spread
 from .registry import query
 from .views import SCENES, TIMELINE, scenes, timeline
@@ -362,3 +362,66 @@ def text_likeness(spark, sf_dir):
     names = read(spark, sf_dir, "part").select("p_partkey", "p_name")
     nxt = names.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("p_name").alias("other"))
     return names.join(nxt, "p_partkey").select("p_partkey", F.round(media.sequence_ratio(F.col("p_name"), F.col("other")), 6).alias("ratio"), media.one_edit(F.col("p_name"), F.col("other")).alias("one_edit"))
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_orderstatus = 'F' OR (o_orderstatus = 'O') OR o_orderkey % 5 = 0 AS leaves FROM orders")
+def export_filter(spark, sf_dir):
+    status = F.when(F.col("o_orderkey") % 5 != 0, _choice(F.col("o_orderstatus"), ("F", "accepted"), ("O", "review"), default="duplicate"))
+    return read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", governance.exported(status).alias("leaves"))
+
+
+@query(f"SELECT {_K}, CASE WHEN l_linenumber = 1 THEN 'human_labelled' WHEN l_discount > 0.08 THEN 'contradicted_claim' WHEN l_linenumber = 2 THEN 'boundary' WHEN l_linenumber = 3 OR l_tax > 0.07 THEN 'camera' WHEN l_linenumber = 4 THEN 'semantic' WHEN l_linenumber = 5 THEN 'confidence' WHEN l_returnflag = 'A' THEN 'accepted' ELSE 'other' END AS category FROM lineitem")
+def failure_categories(spark, sf_dir):
+    n = F.col("l_linenumber")
+    code = _choice(n, (1, "human:rejected"), (2, "failed_check:timestamps"), (3, "failed_check:camera_motion_agreement"), (4, "semantic_verification:not_run"), (5, "confidence:review"))
+    codes = F.array_compact(F.array(code))
+    states = F.when(F.col("l_discount") > 0.08, F.array(F.lit("supported"), F.lit("contradicted"))).otherwise(F.array(F.lit("supported")))
+    told = governance.failure_category(codes, F.when(F.col("l_returnflag") == "A", F.lit("accepted")).otherwise(F.lit("review")), states, F.col("l_tax") > 0.07)
+    return _lines(spark, sf_dir).select(*KEY, told.alias("category"))
+
+
+@query(f"WITH {SCENES} SELECT video_id, scene_id, (CASE WHEN l_suppkey % 4 > 0 AND l_discount <= 0.05 AND l_suppkey % 2 = 0 THEN 1 ELSE 0 END + len(objects) + CASE WHEN l_tax > 0.02 AND l_discount <= 0.07 THEN 1 ELSE 0 END)::INT AS supported, (CASE WHEN l_suppkey % 4 > 0 AND l_discount > 0.05 THEN 1 WHEN l_suppkey % 4 = 0 AND l_discount > 0.05 THEN 1 ELSE 0 END + CASE WHEN l_tax > 0.02 AND l_discount > 0.07 THEN 1 ELSE 0 END)::INT AS contradicted, (CASE WHEN l_suppkey % 4 > 0 AND l_discount <= 0.05 AND l_suppkey % 2 > 0 THEN 1 ELSE 0 END + CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END)::INT AS not_checked, CASE WHEN l_suppkey % 4 = 0 AND l_discount <= 0.05 THEN 1 ELSE 0 END AS \"unknown\" FROM scenes")
+def scene_claims(spark, sf_dir):
+    k = F.col("l_suppkey")
+    moves = F.when(k % 4 > 0, F.lit("pan_left")).otherwise(F.lit("unknown"))
+    source = F.when(k % 2 == 0, F.lit("measurement")).otherwise(F.lit("model"))
+    wrong = F.array_compact(F.array(F.when(F.col("l_discount") > 0.05, F.lit("camera")), F.when(F.col("l_discount") > 0.07, F.lit("lighting"))))
+    told = governance.claims(moves, source, F.col("objects"), F.when(F.col("l_tax") > 0.02, F.lit("dim")), F.when(F.col("l_linestatus") == "O", F.lit("indoor")).otherwise(F.lit("unknown")), wrong)
+    made = scenes(spark, sf_dir).select("video_id", "scene_id", told.alias("c")).select("video_id", "scene_id", governance.claim_states(F.col("c")).alias("n"))
+    return made.select("video_id", "scene_id", "n.*")
+
+
+@query(f"WITH q AS (SELECT {_K}, CASE WHEN l_linenumber = 1 THEN 0.9 WHEN l_returnflag = 'A' THEN l_tax * 10 END AS g, CASE WHEN l_linestatus = 'O' THEN l_tax * 10 END AS t, CASE WHEN l_quantity > 5 THEN l_discount * 10 END AS d FROM lineitem) SELECT {_K}, round(g, 6) AS grounding, round(t, 6) AS temporal_accuracy, round(list_avg(list_filter([g, t, d], lambda x: x IS NOT NULL)), 6) AS overall FROM q")
+def event_quality(spark, sf_dir):
+    score = F.col("l_tax") * 10
+    told = governance.event_quality(F.when(F.col("l_linenumber") == 1, 0.9), score, F.when(F.col("l_returnflag") == "A", F.lit("ocr_score")).otherwise(F.lit("model")), F.when(F.col("l_linestatus") == "O", F.lit("asr")).otherwise(F.lit("scene")), F.when(F.col("l_quantity") > 5, F.col("l_discount") * 10))
+    return _lines(spark, sf_dir).select(*KEY, told.alias("q")).select(*KEY, *[F.round(f"q.{c}", 6).alias(c) for c in ("grounding", "temporal_accuracy", "overall")])
+
+
+@query(f"SELECT {_K}, CASE WHEN l_linenumber = 7 THEN 'not_checked' WHEN l_quantity > 30.25 OR l_quantity + l_discount > 30.25 OR l_returnflag = 'R' THEN 'outside_audio' WHEN l_quantity + l_discount > 30 THEN 'clamped' ELSE 'within_audio' END AS state, CASE WHEN l_linenumber < 7 AND l_returnflag <> 'R' AND l_quantity <= 30.25 AND l_quantity + l_discount > 30 AND l_quantity + l_discount <= 30.25 THEN 30 WHEN l_returnflag = 'R' THEN l_quantity - 1 ELSE l_quantity + l_discount END AS until FROM lineitem")
+def speech_alignment(spark, sf_dir):
+    q = F.col("l_quantity")
+    end = F.when(F.col("l_returnflag") == "R", q - 1).otherwise(q + F.col("l_discount"))
+    told = governance.aligned_speech(q, end, F.when(F.col("l_linenumber") < 7, F.lit(30.0)))
+    return _lines(spark, sf_dir).select(*KEY, told["state"].alias("state"), told["end"].alias("until"))
+
+
+@query(f"SELECT {_K}, coalesce(l_tax - 0.02 < 0, false) OR coalesce(CASE WHEN l_linenumber <> 3 THEN l_discount END < l_tax - 0.02, false) AS bad FROM lineitem")
+def impossible_times(spark, sf_dir):
+    end = F.when(F.col("l_linenumber") != 3, F.col("l_discount"))
+    return _lines(spark, sf_dir).select(*KEY, governance.impossible_time(F.col("l_tax") - 0.02, end).alias("bad"))
+
+
+@query("WITH s AS (SELECT DISTINCT 'p' || l_partkey AS path FROM lineitem WHERE l_partkey % 50 <> 0 UNION SELECT 'gone'), f AS (SELECT 'p' || p_partkey AS path, p_size % 10 AS length FROM part), j AS (SELECT s.path AS a, f.path AS b, f.length FROM s FULL JOIN f ON s.path = f.path) SELECT CASE WHEN a IS NULL THEN 'unreferenced' WHEN b IS NULL THEN 'missing' WHEN length = 0 THEN 'empty' ELSE 'present' END AS state, count(*) AS n FROM j GROUP BY 1")
+def media_states(spark, sf_dir):
+    name = lambda c: F.concat(F.lit("p"), F.col(c).cast("string")).alias("path")
+    stated = _lines(spark, sf_dir).filter("l_partkey % 50 <> 0").select(name("l_partkey")).unionByName(spark.createDataFrame([("gone",)], "path string"))
+    found = read(spark, sf_dir, "part").select(name("p_partkey"), (F.col("p_size") % 10).alias("length"))
+    return governance.media_report(found, stated)
+
+
+@query("SELECT n_nationkey, n_nationkey % 4 IN (0, 1) AS usable FROM nation")
+def usable_entities(spark, sf_dir):
+    k = F.col("n_nationkey") % 4
+    name = F.when(k == 0, F.col("n_name")).when(k == 1, F.lit("Zürich")).when(k == 2, F.lit("1999")).otherwise(F.lit("x"))
+    return read(spark, sf_dir, "nation").select("n_nationkey", governance.usable_entity(name, F.lit("GPE")).alias("usable"))

@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+import hashlib
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from millrace import schema
 from millrace.functions import ids, text
-from millrace.sources import readers, writers
+from millrace.functions.reasons import reasons
+from millrace.sources import exports, readers, writers
 from millrace.streaming import incremental
 
 
@@ -110,3 +114,56 @@ def test_text_functions(spark):
         ids.hamming(F.lit("ff"), F.lit("0fffffffffffffff")).alias("e"),
     ).first()
     assert (row.n, row.j, row.h, row.a, row.c, row["and"], row.d, row.e) == ("héllo world 5% it's", 1.0, 0.0, "about 6 seconds", "1:02:05", "a, b and c", 4, 64)
+
+
+def test_json_schema_and_documents(spark, tmp_path):
+    exports.write_json_schema(spark, f"{tmp_path}/events.json", "events")
+    told = json.loads((tmp_path / "events.json").read_text())
+    assert told["type"] == "object" and told["properties"]["start_time"] == {"type": ["number", "null"]} and told["properties"]["entities"]["items"] == {"type": ["string", "null"]}
+    exports.write_document(spark, f"{tmp_path}/events.json", {"a": 1})
+    assert json.loads((tmp_path / "events.json").read_text()) == {"a": 1} and not list(tmp_path.glob("*.part"))
+
+
+def test_task_benchmark_and_target_folders(spark, tmp_path):
+    rows = spark.createDataFrame([(f"r{i}", "accepted" if i % 3 else "review", ["cinematic"] if i % 2 else [], f"clips/{i % 2}/{i}.mp4", "train" if i % 4 else "test", float(i)) for i in range(12)], "record_id string, status string, subsets array<string>, clip_path string, split string, duration double")
+    why = reasons((F.col("status") != "accepted", "status"), (F.col("duration") > 8, "too_long"))
+    exports.write_tasks(rows, f"{tmp_path}/tasks", {"t2v": why}, rows.select("record_id"))
+    counts = json.loads((tmp_path / "tasks" / "t2v.filters.json").read_text())["counts"]
+    assert sum(c["n"] for c in counts if c["reason"] == "selected") == spark.read.json(f"{tmp_path}/tasks/t2v").count() == 6
+    assert spark.read.json(f"{tmp_path}/tasks/pairs").count() == 12
+    exports.write_subsets(rows, str(tmp_path), ("cinematic",))
+    assert spark.read.parquet(f"{tmp_path}/cinematic").count() == 6
+    skipped = exports.write_target(rows, f"{tmp_path}/target", why)
+    assert skipped == {"status": 4, "too_long": 3} and [r.record_id for r in spark.read.json(f"{tmp_path}/target/records").orderBy("record_id").collect()] == sorted(f"r{i}" for i in (1, 2, 4, 5, 7, 8))
+    items = rows.select(F.col("record_id").alias("item_id"), F.lit("captioning").alias("task"))
+    exports.write_benchmark(items, f"{tmp_path}/bench", {"captioning": ["cider"]})
+    told = json.loads((tmp_path / "bench" / "benchmark.json").read_text())["captioning"]
+    assert told["items"] == 12 and told["frozen"] == hashlib.sha256("\n".join(sorted(f"r{i}" for i in range(12))).encode()).hexdigest()
+    exports.stage_splits(rows, f"{tmp_path}/staged")
+    assert json.loads((tmp_path / "staged" / "manifest.json").read_text()) == {"splits": {"train": 9, "test": 3}}
+    assert exports.read_split(spark, f"{tmp_path}/staged", "train", "record_id string, status string", F.col("status") == "accepted").count() == 6
+    exports.write_media_metadata(rows, f"{tmp_path}/media")
+    assert {r.folder: r.n for r in spark.read.json(f"{tmp_path}/media").groupBy("folder").agg(F.count(F.lit(1)).alias("n")).collect()} == {"clips/0": 6, "clips/1": 6}
+
+
+def test_inventories_shards_bundles_and_caches(spark, tmp_path):
+    root = tmp_path / "rel"
+    (root / "a").mkdir(parents=True)
+    (root / "a" / "x.txt").write_text("x" * 10)
+    (root / "y.txt").write_text("y")
+    found = exports.write_inventory(spark, str(root))
+    stated = exports.stated_checksums(spark, f"{root}/checksums.sha256")
+    assert sorted(r.path for r in stated.collect()) == ["a/x.txt", "y.txt"] and readers.stale_checksums(found, stated).count() == 0
+    assert json.loads((root / "inventory.json").read_text())["bytes"] == 11
+    names = exports.bundle(str(root), f"{tmp_path}/one.zip")
+    exports.bundle(str(root), f"{tmp_path}/two.zip")
+    assert names == ["a/x.txt", "checksums.sha256", "inventory.json", "y.txt"] and (tmp_path / "one.zip").read_bytes() == (tmp_path / "two.zip").read_bytes()
+    files = spark.createDataFrame([("v1", 60), ("v1", 30), ("v2", 50), ("v3", 20), ("v4", 90)], "video_id string, length long")
+    plan = exports.shard_plan(files, 100)
+    assert {r.video_id: r.shard for r in plan.collect()} == {"v1": 0, "v2": 0, "v3": 1, "v4": 1}
+    passed = spark.createDataFrame([("g", "passed", 0)], "gate string, state string, n long")
+    assert exports.write_ready_shards(files, plan, f"{tmp_path}/shards", passed) == 5
+    with pytest.raises(ValueError):
+        exports.write_ready_shards(files, plan, f"{tmp_path}/shards", passed.withColumn("state", F.lit("failed")))
+    known, missing = exports.cached(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), spark.createDataFrame([("b",), ("c",)], "k string"), "k")
+    assert [r.k for r in known.collect()] == ["b"] and [r.k for r in missing.collect()] == ["c"]
