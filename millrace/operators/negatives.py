@@ -71,7 +71,7 @@ def swapped_attribute(caption: Column) -> Column:
 
 
 def worded(frame: DataFrame, templates: list[str], fields: list[str], key: str, n: int = 2) -> DataFrame:
-    """(key, k, prompt): ``n`` wordings of a record's fields, templates chosen by a hash of its key; a template lacking a field isn't used."""
+    """(key, wording, prompt): ``n`` wordings of a record's fields, templates chosen by a hash of its key; a template lacking a field isn't used."""
     rows = []
     for i, template in enumerate(templates):
         said, lacks = F.lit(template), F.lit(False)
@@ -80,4 +80,4 @@ def worded(frame: DataFrame, templates: list[str], fields: list[str], key: str,
                 said, lacks = F.replace(said, F.lit("{" + f + "}"), F.coalesce(F.col(f).cast("string"), F.lit(""))), lacks | F.col(f).isNull()
         rows.append(F.when(~lacks, F.struct(ids.unit_hash(f"wording {i}", F.col(key)).alias("u"), said.alias("prompt"))))
     chosen = F.slice(F.array_sort(F.array_compact(F.array(*rows))), 1, n)
-    return frame.select(key, F.posexplode(chosen).alias("k", "_c")).select(key, "k", F.col("_c.prompt").alias("prompt"))
+    return frame.select(key, F.posexplode(chosen).alias("wording", "_c")).select(key, "wording", F.col("_c.prompt").alias("prompt"))

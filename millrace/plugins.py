@@ -8,6 +8,7 @@ edge, and nowhere in the relational core.
 from __future__ import annotations
 
 import hashlib
+import json
 import time
 from collections.abc import Callable, Sequence
 from typing import Protocol
@@ -42,6 +43,88 @@ class MockTranscriber:
         return [None if x is None else " ".join(str(x).split()) for x in inputs]
 
 
+class MockReader:
+    """On-screen text as JSON detections (text, score, box) of an input's words in capitals."""
+
+    name = "mock"
+
+    def batch(self, inputs: Sequence[object]) -> list[object]:
+        words = lambda x: [w for w in str(x).split() if w.isupper() and len(w) > 1]
+        return [None if x is None else json.dumps([{"text": w, "score": 0.9, "box": [0.1 * k, 0.8, 0.1 * k + 0.1, 0.9]} for k, w in enumerate(words(x))]) for x in inputs]
+
+
+class MockSounds:
+    """Sound events as JSON (label, start, end) of an input's hash."""
+
+    name = "mock"
+    LABELS = ("Speech", "Music", "Dog", "Silence")
+
+    def batch(self, inputs: Sequence[object]) -> list[object]:
+        return [None if x is None else json.dumps([{"label": self.LABELS[_place(x, 4)], "start": 0.0, "end": 1.0 + _place(x, 3)}]) for x in inputs]
+
+
+class FixedScenes:
+    """Cuts at equal steps, for a duration in seconds: JSON of (start, end)."""
+
+    name = "fixed"
+
+    def __init__(self, step: float = 10.0):
+        self.step = step
+
+    def batch(self, inputs: Sequence[object]) -> list[object]:
+        return [None if x is None else json.dumps([[k * self.step, min(float(x), (k + 1) * self.step)] for k in range(max(1, -int(-float(x) // self.step)))]) for x in inputs]
+
+
+class WordVerifier:
+    """A claim ("text|||evidence") is supported by the share of its words that the evidence has."""
+
+    name = "words"
+
+    def batch(self, inputs: Sequence[object]) -> list[object]:
+        def score(x: object) -> str:
+            said, _, held = str(x).partition("|||")
+            words = set(said.lower().split())
+            share = len(words & set(held.lower().split())) / max(1, len(words))
+            return json.dumps({"score": round(share, 3), "state": "passed" if share >= 0.5 else "failed"})
+
+        return [None if x is None else score(x) for x in inputs]
+
+
+class MockModel:
+    """A language model's answer: JSON with its prompt's digest, as a real one would be parsed."""
+
+    name = "mock"
+
+    def batch(self, inputs: Sequence[object]) -> list[object]:
+        return [None if x is None else "Here it is: " + json.dumps({"answer": hashlib.sha1(str(x).encode()).hexdigest()[:8], "confidence": 0.5}) for x in inputs]
+
+
+class Rewording:
+    """Other words for a question, by a small table; a question without any stays."""
+
+    name = "table"
+    TABLE = (("What happens", "What takes place"), ("Approximately how long", "About how long"), ("Which happens first", "Which comes first"))
+
+    def batch(self, inputs: Sequence[object]) -> list[object]:
+        def other(x: str) -> str:
+            return next((x.replace(a, b, 1) for a, b in self.TABLE if x.startswith(a)), x)
+
+        return [None if x is None else other(str(x)) for x in inputs]
+
+
+class MockEnricher:
+    """A score in [0, 1] of an input's hash, as an aesthetic model gives one."""
+
+    name = "mock"
+
+    def batch(self, inputs: Sequence[object]) -> list[object]:
+        return [None if x is None else f"{_place(x, 1000) / 1000:.3f}" for x in inputs]
+
+
+def _place(x: object, n: int) -> int:
+    return int.from_bytes(hashlib.sha1(str(x).encode()).digest()[:4]) % n
+
+
 class NullProvider:
     """Runs nothing: every result is unknown, which later checks read as not_run."""
 
@@ -51,7 +134,7 @@ class NullProvider:
         return [None] * len(inputs)
 
 
-PROVIDERS: dict[str, Callable[[], Provider]] = {"mock_vision": MockAnalyzer, "mock_speech": MockTranscriber, "null": NullProvider}
+PROVIDERS: dict[str, Callable[[], Provider]] = {"mock_vision": MockAnalyzer, "mock_speech": MockTranscriber, "mock_ocr": MockReader, "mock_sounds": MockSounds, "fixed_scenes": FixedScenes, "word_verifier": WordVerifier, "mock_model": MockModel, "rewording": Rewording, "mock_enricher": MockEnricher, "null": NullProvider}
 _MADE: dict[str, Provider] = {}
 
 
