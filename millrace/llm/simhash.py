@@ -15,7 +15,6 @@ it, and a code links what arrives, 65 at most, to the smallest of them.
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -117,8 +116,9 @@ def hexed(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-#: The longer fingerprint of ``near_copies``: 64-bit words, and segments of so many bits.
-LONG_WORDS, SEGMENTS, SEGMENT_BITS = 8, 25, 20
+#: The longer fingerprint of ``near_copies``: 64-bit words, bits by which a segment has more values than there are
+#: documents, and the documents of one segment value whose pairs are fetched.
+LONG_WORDS, SPARE_BITS, PAIRED = 8, 4, 16
 STEP = 0x9E3779B97F4A7C15
 
 
@@ -151,46 +151,60 @@ def bits_at(similarity: float) -> int:
     return int(64 * LONG_WORDS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, bucket: int = BUCKET) -> DataFrame:
+def segment_bits(documents: int) -> int:
+    """Bits of a segment, so that the fetched pairs of unlike documents grow with the documents and not with their square."""
+    return max(16, max(1, documents - 1).bit_length() + SPARE_BITS)
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, bucket: int = PAIRED) -> DataFrame:
     """One row per input row: id, component_id, by texts whose shingles agree to about ``similarity``.
 
     Two 512-bit fingerprints link if they differ in no more bits than ``bits_at`` expects. Such
-    pairs are fetched from 25 tables of segments of 20 bits, where one at least is equal with a
+    pairs are fetched from tables of their segments, of which one at least is equal with a
     chance that grows with their likeness, and their complete distance is verified. Of a segment
     value with more than ``bucket`` fingerprints, each is verified against the least of them
-    and, by the next segment too, against the least of those that share both, so that no group
-    makes all its pairs. ``component_id`` is the smallest id reachable. Null and empty texts are
-    one group; an empty table gives none; other columns aren't read.
+    and, by the next segment too, against the least of those that share both, and keeps the
+    link to the least of those: so no group makes all its pairs, and a fingerprint makes a
+    bounded number. ``component_id`` is the smallest id reachable. Null and empty texts are one
+    group; an empty table gives none; other columns aren't read.
     """
+    size = segment_bits(docs.count())
+    segments = 64 * LONG_WORDS // size
 
     def rows(batch: pa.RecordBatch) -> list:
         codes, cut = [], []
-        weights = 1 << np.arange(SEGMENT_BITS)
+        weights = 1 << np.arange(size)
         for text in as_bytes(batch.column(1)):
             bits = long_fingerprint(text, width)
             codes.append(np.packbits(bits, bitorder="little").view("<i8").tolist())
-            cut.append((bits[: SEGMENTS * SEGMENT_BITS].reshape(SEGMENTS, SEGMENT_BITS) @ weights).tolist())
+            cut.append((bits[: segments * size].reshape(segments, size) @ weights).tolist())
         return [batch.column(0), codes, cut]
 
-    made = struct(("id", docs.schema[id_col].dataType), ("fp", "array<bigint>"), ("cut", "array<int>"))
+    made = struct(("id", docs.schema[id_col].dataType), ("fp", "array<bigint>"), ("cut", "array<bigint>"))
     marked = durable(arrow_map(docs.select(F.col(id_col).alias("id"), text_col), made, rows))
     classes = durable(marked.groupBy("fp").agg(F.min("id").alias("least"), F.first("cut").alias("cut")).withColumn("node", F.monotonically_increasing_id()), marked.count())
-    placed = classes.select("node", "fp", "cut", F.posexplode("cut").alias("segment", "value"))
     keys = ["segment", "value"]
-    sizes = durable(placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), classes.count() * SEGMENTS // 8)
-    apart = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    placed = classes.select("node", F.posexplode("cut").alias(*keys))
+    sizes = durable(placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), classes.count() * segments // 8)
+    codes = classes.select("node", "fp")
     most = bits_at(similarity)
 
-    few = placed.join(sizes.filter(F.col("n") <= bucket), keys).select("node", "fp", *keys)
-    met = few.join(few.select(F.col("node").alias("other"), F.col("fp").alias("other_fp"), *keys), keys).filter("node < other")
-    found = [met.filter(apart("fp", "other_fp") <= most).select(F.col("node").alias("src"), F.col("other").alias("dst"))]
-    crowd = sizes.filter(F.col("n") > bucket)
+    def verified(pairs: DataFrame) -> DataFrame:
+        """Of candidate pairs (src, dst), each once, those whose complete distance is small enough."""
+        both = pairs.distinct().join(codes.select(F.col("node").alias("src"), F.col("fp").alias("a")), "src").join(codes.select(F.col("node").alias("dst"), F.col("fp").alias("b")), "dst")
+        apart = F.aggregate(F.zip_with("a", "b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+        return both.filter(apart <= most).select("src", "dst")
+
+    few = placed.join(sizes.filter(F.col("n") <= bucket), keys).select("node", *keys)
+    met = few.withColumnRenamed("node", "src").join(few.withColumnRenamed("node", "dst"), keys).filter("src < dst").select("src", "dst")
+    found = verified(met)
+    crowd = sizes.filter(F.col("n") > bucket).select(*keys)
     if not crowd.isEmpty():
-        many = placed.join(crowd, keys).select("node", "fp", *keys, F.get("cut", (F.col("segment") + 1) % SEGMENTS).alias("next"))
-        for by in (keys, [*keys, "next"]):
-            least = many.groupBy(*by).agg(F.min(F.struct("node", "fp")).alias("l"))
-            found.append(many.join(least, by).filter((F.col("node") != F.col("l.node")) & (apart("fp", "l.fp") <= most)).select(F.col("l.node").alias("src"), F.col("node").alias("dst")))
-    roots = connected_components(reduce(DataFrame.unionAll, found).distinct())
+        nexts = classes.select("node", F.posexplode("cut").alias(*keys), "cut").select("node", *keys, F.get("cut", (F.col("segment") + 1) % segments).alias("next"))
+        many = nexts.join(crowd, keys)
+        stars = [many.join(many.groupBy(*by).agg(F.min("node").alias("src")), by).filter("node <> src").select("src", F.col("node").alias("dst")) for by in (keys, [*keys, "next"])]
+        found = found.unionAll(verified(stars[0].unionAll(stars[1])).groupBy("dst").agg(F.min("src").alias("src")).select("src", "dst"))
+    roots = connected_components(found.distinct())
     joined = classes.join(roots, "node", "left").select("fp", "least", F.coalesce("root", "node").alias("root"))
     whole = joined.join(joined.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
     return marked.select("id", "fp").join(whole, "fp").select(F.col("id").alias(id_col), "component_id")
