@@ -83,6 +83,28 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pii.digest(_pii.find_pii(_documents(spark, sf_dir)))
 
 
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op9's columns that SQL can say: host, path and rule."""
+    return op9_url_filter(spark, sf_dir).select("page_id", "host", "path", "rule")
+
+
+def pii_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op10's columns that SQL can say: the numbers of base spans."""
+    return op10_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
+
+
+URL_SQL = r"""
+WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages)
+SELECT page_id, host, path, CASE WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/' WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+  WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/' WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM u"""
+
+PII_SQL = r"""
+WITH m AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+') AS e, regexp_extract_all(coalesce(text, ''), '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)') AS i,
+  list_transform(regexp_extract_all(coalesce(text, ''), '[0-9](?:[\x20-]?[0-9])+'), lambda x: regexp_replace(x, '[^0-9]', '', 'g')) AS c, list_transform(regexp_extract_all(coalesce(text, ''), '\+[0-9][\x20().0-9-]+[0-9]'), lambda x: length(regexp_replace(x, '[^0-9]', '', 'g'))) AS p FROM documents)
+SELECT doc_id, len(e)::BIGINT AS n_email, len(list_filter(i, lambda x: list_max(list_transform(string_split(x, '.'), lambda y: y::HUGEINT)) <= 255))::BIGINT AS n_ip,
+  len(list_filter(c, lambda d: length(d) BETWEEN 12 AND 19 AND list_sum(list_transform(range(length(d)), lambda k: CASE WHEN k % 2 = 0 THEN d[length(d) - k]::INT WHEN d[length(d) - k]::INT > 4 THEN d[length(d) - k]::INT * 2 - 9 ELSE d[length(d) - k]::INT * 2 END)) % 10 = 0))::BIGINT AS n_card,
+  len(list_filter(p, lambda n: n BETWEEN 9 AND 15))::BIGINT AS n_phone FROM m"""
+
 OP2_SQL = r"""
 WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm FROM documents),
 g AS (SELECT *, first_value(doc_id) OVER (PARTITION BY norm ORDER BY points DESC, doc_id NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM n)
@@ -112,11 +134,13 @@ gone AS (SELECT doc_id, list(DISTINCT pos) AS poss FROM (SELECT doc_id, unnest(r
 kept AS (SELECT doc_id, w, poss, CASE WHEN poss IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(poss, i - 1)) END AS v FROM words LEFT JOIN gone USING (doc_id))
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(poss), 0)::BIGINT AS n_removed, sha256(array_to_string(v, ' ')) AS kept_sha256 FROM kept"""
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sentencepiece, op2_exact_dedup, op3_license_scan, op4_toxicity, op5_decontaminate, op6_simhash, op7_substring_dedup, op8_language, op9_url_filter, op10_pii)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sentencepiece, op2_exact_dedup, op3_license_scan, op4_toxicity, op5_decontaminate, op6_simhash, op7_substring_dedup, op8_language, op9_url_filter, op10_pii, url_rules, pii_counts)}
 
 ORACLES: dict[str, str] = {
     "op2_exact_dedup": OP2_SQL,
     "op3_license_scan": _license.scan_sql(),
     "op5_decontaminate": OP5_SQL,
     "op7_substring_dedup": OP7_SQL,
+    "url_rules": URL_SQL,
+    "pii_counts": PII_SQL,
 }
