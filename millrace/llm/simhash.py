@@ -182,7 +182,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     made = struct(("id", docs.schema[id_col].dataType), ("fp", "array<bigint>"), ("cut", "array<bigint>"))
     marked = durable(arrow_map(docs.select(F.col(id_col).alias("id"), text_col), made, rows))
-    classes = durable(marked.groupBy("fp").agg(F.min("id").alias("least"), F.first("cut").alias("cut")).withColumn("node", F.monotonically_increasing_id()), marked.count())
+    classes = durable(marked.groupBy("fp").agg(F.min("id").alias("least"), F.first("cut").alias("cut")).withColumn("node", F.monotonically_increasing_id()), 4 * marked.count())
     keys = ["segment", "value"]
     placed = classes.select("node", F.posexplode("cut").alias(*keys))
     sizes = durable(placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), classes.count() * segments // 8)
