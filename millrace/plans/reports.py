@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import agreement, release, reports, stats, temporal, validation
-from ..runtime import read
+from ..runtime import durable, read
 from .registry import query
 from .views import SCENES, TIMELINE, scenes, timeline
 
@@ -167,7 +167,7 @@ SELECT * FROM shots UNION ALL SELECT * FROM acts UNION ALL SELECT * FROM links U
 @query(_VALID)
 def validation_driver(spark, sf_dir):
     """Records of five kinds, each judged by its policy against the others, with planted faults."""
-    base = scenes(spark, sf_dir).withColumn("scene_id", F.col("scene_id").cast("string"))
+    base = durable(scenes(spark, sf_dir).withColumn("scene_id", F.col("scene_id").cast("string")))  # read by all five kinds
     text = lambda c: F.col(c).cast("string")
     mod = lambda c, k: F.col(c) % k == 0
     shots = base.select("video_id", "scene_id", "start_time", "end_time", "l_suppkey", "l_linenumber", "l_tax", F.when(mod("l_suppkey", 11), F.lit(" ")).otherwise(F.col("l_returnflag")).alias("summary"), F.when(F.col("l_discount") > 0.08, F.array(F.lit("dark"))).otherwise(F.array().cast("array<string>")).alias("flags"), (1 - F.col("l_discount") * 4).alias("confidence"))
@@ -219,6 +219,7 @@ def release_gates(spark, sf_dir):
         F.when(n > 1, ident(n - F.when(video % 300 == 9, 100).otherwise(1))).alias("parent_id"),
         F.when(video % 50 == 1, F.concat(F.lit("/home/u/"), n.cast("string"))).otherwise(F.concat(F.lit("clips/"), (F.col("l_suppkey") % 30).cast("string"))).alias("clip_path"),
     )
+    records = durable(records)  # read by nearly every gate
     made = lambda rows, ddl: spark.createDataFrame(rows, ddl)
     written = records.filter("video_id % 400 <> 11").select("record_id").unionByName(made([("extra",)], "record_id string"))
     by_type = records.groupBy(F.lit("scenes").alias("record_type")).agg(F.count(F.lit(1)).alias("n"))
