@@ -16,7 +16,7 @@ def test_generated_questions_are_well_formed_and_recompute(spark):
     assert asked.filter(F.size(questions.form_faults(F.col("question"))) > 0).count() == 0
     assert asked.filter(F.size(questions.answer_faults(F.col("answer"), F.col("type"))) > 0).count() == 0
     states = {r.recomputed for r in questions.recompute(asked, events).collect()}
-    assert states == {"passed", "not_applicable"}
+    assert states == {"passed"}
     wrong = asked.filter("type = 'duration'").withColumn("answer", F.lit("About 9 seconds (from 1.0s to 2.0s)."))
     assert {r.recomputed for r in questions.recompute(wrong, events).collect()} == {"failed"}
 
@@ -29,6 +29,11 @@ def test_all_eight_templates(spark):
     assert {r.type for r in got} == set(questions.ANSWERS) - {"before_after"}
     assert asked.filter(F.size(questions.form_faults(F.col("question"))) > 0).count() == 0
     assert asked.filter(F.size(questions.answer_faults(F.col("answer"), F.col("type"))) > 0).count() == 0
+    assert {r.recomputed for r in questions.recompute(asked, events).collect()} == {"passed"}
+    late = events.withColumn("start_time", F.col("start_time") + F.when(F.col("event_id").isin("e5", "e2"), 300).otherwise(0)).withColumn("end_time", F.col("end_time") + F.when(F.col("event_id").isin("e5", "e2"), 300).otherwise(0))
+    wrong = {r.type for r in questions.recompute(asked, late).collect() if r.recomputed == "failed"}
+    assert wrong >= {"duration", "event_localization", "timestamp", "temporal_ordering", "state_change", "multi_event", "long_range"}
+    assert {r.recomputed for r in questions.recompute(asked, events.limit(0)).collect()} == {"not_run"}
     change = [r for r in got if r.type == "state_change"]
     assert [(r.answer, r.event_ids, r.start_time, r.end_time, r.difficulty) for r in change] == [("The light changes from day to night (the change happens around 60.0s).", ["e4", "e5"], 48.0, 64.0, "medium")]
     assert len([r for r in got if r.type == "multi_event"]) == 12
