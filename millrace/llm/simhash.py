@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..operators.graph import connected_components
 from ..runtime import durable
@@ -117,8 +118,10 @@ def hexed(fp: Column) -> Column:
 
 
 #: The longer fingerprint of ``near_copies``: 64-bit words, bits by which a segment has more values than there are
-#: documents, and the documents of one segment value whose pairs are fetched.
-LONG_WORDS, SPARE_BITS, PAIRED = 8, 4, 16
+#: documents, the documents of one segment value whose pairs are fetched, and those that one task compares with as many.
+LONG_WORDS, SPARE_BITS, PAIRED, COMPARED = 8, 4, 16, 4096
+#: Fingerprints that are compared with a block at once.
+STRIP = 64
 STEP = 0x9E3779B97F4A7C15
 
 
@@ -156,16 +159,68 @@ def segment_bits(documents: int) -> int:
     return max(16, max(1, documents - 1).bit_length() + SPARE_BITS)
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, bucket: int = PAIRED) -> DataFrame:
+def _joined_within(table: pa.Table, most: int) -> list[tuple[int, int]]:
+    """(src, dst), src < dst: roots that the near pairs of part ``a`` with part ``b`` connect, as a forest.
+
+    Every fingerprint of the one part is compared with all of the other whose root it isn't known to share.
+    """
+    part, label = table["part"].to_numpy(), table["root"].to_numpy().copy()
+    codes = table["fp"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, LONG_WORDS)
+    low, high = (np.flatnonzero(part == table[side][0].as_py()) for side in ("a", "b"))
+    found = []
+    for at in range(0, len(low), STRIP):
+        rows = low[at : at + STRIP]
+        rows = rows[[bool((label[high] != label[row]).any()) for row in rows]]
+        apart = np.zeros((len(rows), len(high)), np.uint16)
+        for k in range(LONG_WORDS):
+            apart += np.bitwise_count(codes[rows, k, None] ^ codes[None, high, k])
+        near = apart <= most
+        for k in np.flatnonzero((near & (label[rows, None] != label[None, high])).any(1)):
+            met = np.union1d(label[high[near[k]]], label[rows[k]])
+            found += [(int(met[0]), int(x)) for x in met[1:]]
+            label[np.isin(label, met)] = met[0]
+    return found
+
+
+def _joined(members: DataFrame, most: int, block: int) -> DataFrame:
+    """(src, dst) of roots, src < dst: enough to connect what all near pairs of every segment value connect.
+
+    ``members`` are (segment, value, node, root, fp). Pairs under one root are connected already. So
+    of each value the members outside its most frequent root are compared with each other and with
+    those inside, in blocks of about ``block`` with as many: no pair is left out, and none but the
+    blocks of one value's fingerprints meet in a task.
+    """
+    keys = ["segment", "value"]
+    held = members.groupBy(*keys, "root").agg(F.count(F.lit(1)).alias("n"))
+    told = held.groupBy(*keys).agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("n")).filter(F.col("n") > F.col("main.n"))
+    parts = told.select(*keys, F.col("main.root").alias("main"), F.ceil((F.col("n") - F.col("main.n")) / block).alias("outer"), F.ceil(F.col("main.n") / block).alias("inner"))
+    by = F.xxhash64("node")
+    dealt = members.join(parts, keys).withColumn("part", F.when(F.col("root") == F.col("main"), F.col("outer") + F.pmod(by, "inner")).otherwise(F.pmod(by, "outer")))
+    part, last = F.col("part"), F.least("part", F.col("outer") - 1)
+    first = F.when(part < F.col("outer"), F.transform(F.sequence(part, F.col("outer") + F.col("inner") - 1), lambda x: F.struct(part.alias("a"), x.alias("b"))))
+    other = F.filter(F.transform(F.sequence(F.lit(0).cast("bigint"), last), lambda x: F.struct(x.alias("a"), part.alias("b"))), lambda x: x["a"] < x["b"])
+    met = dealt.withColumn("pair", F.explode(F.when(first.isNull(), other).otherwise(F.concat(first, other))))
+    schema = struct(("src", "bigint"), ("dst", "bigint"))
+    arrow = to_arrow_schema(schema)
+
+    def run(table: pa.Table) -> pa.Table:
+        found = _joined_within(table, most)
+        return pa.table([pa.array([x[k] for x in found], pa.int64()) for k in range(2)], schema=arrow)
+
+    return met.select(*keys, "pair.a", "pair.b", "part", "root", "fp").groupBy(*keys, "a", "b").applyInArrow(run, schema)
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, bucket: int = PAIRED, block: int = COMPARED) -> DataFrame:
     """One row per input row: id, component_id, by texts whose shingles agree to about ``similarity``.
 
     Two 512-bit fingerprints link if they differ in no more bits than ``bits_at`` expects. Such
     pairs are fetched from tables of their segments, of which one at least is equal with a
     chance that grows with their likeness, and their complete distance is verified. Of a segment
-    value with more than ``bucket`` fingerprints, each is verified against the least of them
-    and, by the next segment too, against the least of those that share both, and keeps the
-    link to the least of those: so no group makes all its pairs, and a fingerprint makes a
-    bounded number. ``component_id`` is the smallest id reachable. Null and empty texts are one
+    value with more than ``bucket`` fingerprints, each is first verified against the least of
+    them and, by the next segment too, against the least of those that share both. That connects
+    most of a group of near copies; every other pair of the value, of those not connected by
+    then, is compared in blocks. So the components are those of all pairs, whatever ``bucket``
+    and ``block``. ``component_id`` is the smallest id reachable. Null and empty texts are one
     group; an empty table gives none; other columns aren't read.
     """
     size = segment_bits(docs.count())
@@ -199,12 +254,19 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     met = few.withColumnRenamed("node", "src").join(few.withColumnRenamed("node", "dst"), keys).filter("src < dst").select("src", "dst")
     found = verified(met)
     crowd = sizes.filter(F.col("n") > bucket).select(*keys)
-    if not crowd.isEmpty():
+    few_only = crowd.isEmpty()
+    if not few_only:
         nexts = classes.select("node", F.posexplode("cut").alias(*keys), "cut").select("node", *keys, F.get("cut", (F.col("segment") + 1) % segments).alias("next"))
         many = nexts.join(crowd, keys)
         stars = [many.join(many.groupBy(*by).agg(F.min("node").alias("src")), by).filter("node <> src").select("src", F.col("node").alias("dst")) for by in (keys, [*keys, "next"])]
-        found = found.unionAll(verified(stars[0].unionAll(stars[1])).groupBy("dst").agg(F.min("src").alias("src")).select("src", "dst"))
+        found = found.unionAll(verified(stars[0].unionAll(stars[1])))
     roots = connected_components(found.distinct())
-    joined = classes.join(roots, "node", "left").select("fp", "least", F.coalesce("root", "node").alias("root"))
+    joined = classes.join(roots, "node", "left").select("node", "fp", "least", F.coalesce("root", "node").alias("root"))
+    if not few_only:
+        members = placed.join(crowd, keys).join(joined.select("node", "root", "fp"), "node")
+        rest = durable(_joined(members, most, block).distinct(), classes.count())
+        if not rest.isEmpty():
+            upper = connected_components(rest).select(F.col("node").alias("root"), F.col("root").alias("top"))
+            joined = joined.join(upper, "root", "left").withColumn("root", F.coalesce("top", "root"))
     whole = joined.join(joined.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
     return marked.select("id", "fp").join(whole, "fp").select(F.col("id").alias(id_col), "component_id")

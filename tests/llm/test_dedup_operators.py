@@ -132,6 +132,38 @@ def test_near_copies_are_found_and_others_left_alone(spark, bucket):
     assert simhash.near_copies(table(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize(("bucket", "block"), [(16, 2048), (1, 2048), (1, 7)])
+def test_near_copies_connect_what_every_pair_of_a_segment_value_connects(spark, bucket, block):
+    """Unlike texts of one boilerplate crowd the segment values, whose least is then near to few of them.
+
+    A bucket of one sends every shared value the way of the crowded, a block of seven divides those.
+    """
+    import random
+
+    import numpy as np
+
+    r = random.Random(12)
+    shared = passage(800, 120)
+    texts = []
+    for i in range(60):
+        words = (shared + " " + passage(1000 + i, 55)).split()
+        for _ in range(r.randint(1, 5)):
+            words = list(words)
+            words[r.randrange(len(words))] = f"changed{r.randrange(99)}"
+            texts.append(" ".join(words))
+    bits = np.array([simhash.long_fingerprint(t.encode(), 5) for t in texts])
+    size = simhash.segment_bits(len(texts))
+    cut = bits[:, : bits.shape[1] // size * size].reshape(len(texts), -1, size)
+    least = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if (cut[a] == cut[b]).all(1).any() and (bits[a] != bits[b]).sum() <= simhash.bits_at(0.8):
+                least = [min(least[a], least[b]) if x in (least[a], least[b]) else x for x in least]
+    got = simhash.near_copies(table(spark, [(i, t, None, None, None) for i, t in enumerate(texts)]), bucket=bucket, **({} if block == 2048 else {"block": block}))
+    assert 20 < len(set(least)) < len(texts) - 40
+    assert dict(got.collect()) == dict(enumerate(least))
+
+
 def removal(rows):
     starts = defaultdict(set)
     for i, t, *_ in rows:
