@@ -207,7 +207,8 @@ def _joined(members: DataFrame, most: int, block: int) -> DataFrame:
         found = _joined_within(table, most)
         return pa.table([pa.array([x[k] for x in found], pa.int64()) for k in range(2)], schema=arrow)
 
-    return met.select(*keys, "pair.a", "pair.b", "part", "root", "fp").groupBy(*keys, "a", "b").applyInArrow(run, schema)
+    told_apart = met.select(*keys, "pair.a", "pair.b", "part", "root", "fp").repartition(*keys, "a", "b")  # else a value's blocks stay in one task
+    return told_apart.groupBy(*keys, "a", "b").applyInArrow(run, schema)
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, bucket: int = PAIRED, block: int = COMPARED) -> DataFrame:
