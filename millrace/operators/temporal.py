@@ -24,55 +24,65 @@ def _order(key: str = "video_id", *by: str) -> Window:
     return Window.partitionBy(key).orderBy(*(by or ("start_time", "end_time", "event_id")))
 
 
-def neighbour_relations(events: DataFrame, k: int = 6, tolerance: float = 0.25, inverse: bool = False) -> DataFrame:
+def neighbour_relations(events: DataFrame, k: int = 6, tolerance: float = 0.25, inverse: bool = False, carry: dict[str, Column] | None = None) -> DataFrame:
     """(video_id, event_a, event_b, relation, gap_seconds) of each event with its next k in the video.
 
     The k neighbours come by ``lead`` over one window, so there is no join. Events with equal
-    times are in order of their id.
+    times are in order of their id. Columns that ``carry`` names come along for both events, as
+    <name>_a and <name>_b.
     """
-    w = _order()
-    later = [F.lead(F.struct("event_id", "start_time", "end_time"), j).over(w) for j in range(1, k + 1)]
-    pairs = events.select("video_id", F.col("event_id").alias("a"), F.col("start_time").alias("s"), F.col("end_time").alias("e"), F.array_compact(F.array(*later)).alias("later")).select("*", F.explode("later").alias("n")).drop("later")
+    w, carry = _order(), carry or {}
+    own = F.struct("event_id", "start_time", "end_time", *[v.alias(n) for n, v in carry.items()])
+    later = [F.lead(own, j).over(w) for j in range(1, k + 1)]
+    kept = [v.alias(f"_own_{n}") for n, v in carry.items()]
+    pairs = events.select("video_id", F.col("event_id").alias("a"), F.col("start_time").alias("s"), F.col("end_time").alias("e"), *kept, F.array_compact(F.array(*later)).alias("later")).select("*", F.explode("later").alias("n")).drop("later")
     told = pairs.withColumn("r", interval.relation(F.col("s"), F.col("e"), F.col("n.start_time"), F.col("n.end_time"), tolerance)).filter(F.col("r").isNotNull())
     swapped = F.col("r.swapped")
     gap = F.when(F.col("r.relation") == "BEFORE", F.round(F.col("n.start_time") - F.col("e"), 3))
-    out = told.select("video_id", F.when(swapped, F.col("n.event_id")).otherwise(F.col("a")).alias("event_a"), F.when(swapped, F.col("a")).otherwise(F.col("n.event_id")).alias("event_b"), F.col("r.relation").alias("relation"), gap.alias("gap_seconds"))
+    out = told.select("video_id", F.when(swapped, F.col("n.event_id")).otherwise(F.col("a")).alias("event_a"), F.when(swapped, F.col("a")).otherwise(F.col("n.event_id")).alias("event_b"), F.col("r.relation").alias("relation"), gap.alias("gap_seconds"), *[F.when(swapped == (side == "b"), F.col(f"_own_{n}")).otherwise(F.col(f"n.{n}")).alias(f"{n}_{side}") for n in carry for side in "ab"])
     if inverse:
-        out = out.unionByName(out.filter(F.col("relation") == "BEFORE").select("video_id", F.col("event_b").alias("event_a"), F.col("event_a").alias("event_b"), F.lit("AFTER").alias("relation"), "gap_seconds"))
+        turned = [F.col(f"{n}_{x}").alias(f"{n}_{y}") for n in carry for x, y in ("ab", "ba")]
+        out = out.unionByName(out.filter(F.col("relation") == "BEFORE").select("video_id", F.col("event_b").alias("event_a"), F.col("event_a").alias("event_b"), F.lit("AFTER").alias("relation"), "gap_seconds", *turned))
     return out
 
 
-def long_range_links(events: DataFrame, entity: str = "entity", min_gap: float = 20.0, k: int = 3, scene: str | None = None) -> DataFrame:
+def long_range_links(events: DataFrame, entity: str = "entity", min_gap: float = 20.0, k: int = 3, scene: str | None = None, carry: list[str] | None = None) -> DataFrame:
     """(video_id, event_a, event_b, gap_seconds): for each event its nearest k later ones of one of its entities.
 
     ``events`` has a row for each event and entity. A link needs a gap of ``min_gap`` at least
     and, if ``scene`` names a column, another scene. Starts and the earliest times at which a
-    link may begin are merged in one window, which numbers the starts; an event's candidates are
-    the k numbers after its own place, so they are found by equality and never by comparing all
-    later events. Starts are numbered within their scene too: of each of the k next numbers that
-    fall in the event's own scene, one more is looked at.
+    link may begin are merged in one window, in which an event's candidates are the k starts
+    after its own place, so they are never found by comparing all later events. With a scene,
+    starts are numbered, within their scene too, and met by number: of each of the k next numbers
+    that fall in the event's own scene, one more is looked at. Columns that ``carry`` names, which
+    must be the same in all rows of an event, come along for both events, as <name>_a and <name>_b.
     """
+    carry = carry or []
+    held = F.struct(*carry) if carry else F.lit(None).cast("int")
     own = F.col(scene).cast("string") if scene else F.lit(None).cast("string")
     first = F.col("end_time") + min_gap
-    starts = events.select("video_id", entity, "event_id", "start_time", F.lit(None).cast("double").alias("from"), F.col("start_time").alias("t"), F.lit(1).alias("kind"), own.alias("sc"))
-    asks = events.select("video_id", entity, "event_id", "start_time", F.col("end_time").alias("from"), first.alias("t"), F.lit(0).alias("kind"), own.alias("sc"))
+    starts = events.select("video_id", entity, "event_id", "start_time", F.lit(None).cast("double").alias("from"), F.col("start_time").alias("t"), F.lit(1).alias("kind"), own.alias("sc"), held.alias("held"))
+    asks = events.select("video_id", entity, "event_id", "start_time", F.col("end_time").alias("from"), first.alias("t"), F.lit(0).alias("kind"), own.alias("sc"), held.alias("held"))
     w = Window.partitionBy("video_id", entity).orderBy(F.col("t"), F.col("kind"), F.col("event_id"))
-    ranked = starts.unionByName(asks).withColumn("place", F.sum("kind").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    reach = F.lit(k)
-    if scene:
+    both = starts.unionByName(asks)
+    target = F.struct(F.col("start_time").alias("b_start"), F.col("event_id").alias("event_b"), F.col("held").alias("held_b"))
+    if not scene:
+        over = f"OVER (PARTITION BY video_id, `{entity}` ORDER BY t, kind, event_id)"
+        later = F.array_compact(F.array(*[F.expr(f"lead(_start, {j}) IGNORE NULLS {over}") for j in range(1, k + 1)]))
+        ranked = both.withColumn("_start", F.when(F.col("kind") == 1, target)).select("video_id", "event_id", "from", "kind", "held", later.alias("_later")).filter("kind = 0")
+        near = ranked.select("video_id", F.col("event_id").alias("event_a"), F.col("from").alias("a_end"), F.col("held").alias("held_a"), F.explode("_later").alias("_b"))
+    else:
         # How many later starts lie in the event's own scene: so many numbers more may be needed.
         inside = Window.partitionBy("video_id", entity, "sc").orderBy(F.col("t").desc(), F.col("kind").desc(), F.col("event_id").desc())
-        ranked = ranked.withColumn("more", F.sum("kind").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-        reach = F.lit(k) + F.col("more")
-    targets = ranked.filter("kind = 1").select("video_id", entity, F.col("event_id").alias("event_b"), F.col("start_time").alias("b_start"), F.col("sc").alias("b_sc"), "place")
-    wanted = ranked.filter("kind = 0").select("video_id", entity, F.col("event_id").alias("event_a"), F.col("start_time").alias("a_start"), F.col("from").alias("a_end"), F.col("sc").alias("a_sc"), F.explode(F.sequence(F.col("place") + 1, F.col("place") + reach)).alias("place"))
-    linked = wanted.join(targets, ["video_id", entity, "place"]).filter("a_sc IS NULL OR b_sc IS NULL OR a_sc <> b_sc")
-    if scene:
+        ranked = both.withColumn("place", F.sum("kind").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("more", F.sum("kind").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+        targets = ranked.filter("kind = 1").select("video_id", entity, target.alias("_b"), F.col("sc").alias("b_sc"), "place")
+        wanted = ranked.filter("kind = 0").select("video_id", entity, F.col("event_id").alias("event_a"), F.col("from").alias("a_end"), F.col("sc").alias("a_sc"), F.col("held").alias("held_a"), F.explode(F.sequence(F.col("place") + 1, F.col("place") + F.lit(k) + F.col("more"))).alias("place"))
+        linked = wanted.join(targets, ["video_id", entity, "place"]).filter("a_sc IS NULL OR b_sc IS NULL OR a_sc <> b_sc")
         per = Window.partitionBy("video_id", entity, "event_a").orderBy("place")
-        linked = linked.withColumn("n", F.row_number().over(per)).filter(F.col("n") <= k)
-    near = linked.select("video_id", "event_a", "event_b", "b_start", "a_end").distinct()
-    best = Window.partitionBy("video_id", "event_a").orderBy("b_start", "event_b")
-    return near.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k).select("video_id", "event_a", "event_b", (F.col("b_start") - F.col("a_end")).alias("gap_seconds"))
+        near = linked.withColumn("n", F.row_number().over(per)).filter(F.col("n") <= k).select("video_id", "event_a", "a_end", "held_a", "_b")
+    best = near.groupBy("video_id", "event_a", "a_end", "held_a").agg(F.collect_set("_b").alias("_all"))
+    told = best.select("video_id", "event_a", "a_end", "held_a", F.explode(F.slice(F.array_sort("_all"), 1, k)).alias("_b"))
+    return told.select("video_id", "event_a", F.col("_b.event_b").alias("event_b"), (F.col("_b.b_start") - F.col("a_end")).alias("gap_seconds"), *[F.col(f"held_a.{c}").alias(f"{c}_a") for c in carry], *[F.col(f"_b.held_b.{c}").alias(f"{c}_b") for c in carry])
 
 
 def relation_violations(relations: DataFrame, events: DataFrame, tolerance: float = 0.3) -> DataFrame:
@@ -100,11 +110,29 @@ def interval_join(left: DataFrame, right: DataFrame, key: str = "video_id", widt
     return a.join(b, [key, "_bucket"]).filter((F.col("start_time") < F.col("r_end_time")) & (F.col("end_time") > F.col("r_start_time")) & (F.col("_bucket") == first)).drop("_bucket")
 
 
+#: Each level of ``points_in_intervals`` has buckets so many times as wide as the one before.
+LEVEL = 8
+
+
+def _level(s: Column, e: Column, width: float) -> Column:
+    """The first level whose buckets are as wide as the interval is long, so that it lies in two of them at most."""
+    return F.greatest(F.lit(0), F.ceil(F.log(F.greatest(e - s, F.lit(width)) / width) / F.log(F.lit(float(LEVEL))) + 1e-9)).cast("int")
+
+
 def points_in_intervals(points: DataFrame, spans: DataFrame, time: str = "t", key: str = "video_id", width: float = 60.0) -> DataFrame:
-    """Points with each interval that holds them, both ends included; the interval's columns as r_*."""
-    a = points.withColumn("_bucket", F.floor(F.col(time) / width))
-    b = spans.select(*[F.col(c).alias(c if c == key else f"r_{c}") for c in spans.columns]).withColumn("_bucket", F.explode(_buckets(F.col("r_start_time"), F.col("r_end_time"), width)))
-    return a.join(b, [key, "_bucket"]).filter(interval.contains_time(F.col("r_start_time"), F.col("r_end_time"), F.col(time))).drop("_bucket")
+    """Points with each interval that holds them, both ends included; the interval's columns as r_*.
+
+    Intervals are dealt to levels by their length: buckets of ``width`` seconds, then of
+    ``LEVEL`` times as many and so on, so that each lies in two buckets at most, however long it
+    is. A point is looked up once in each level that there is.
+    """
+    wide = lambda: F.pow(F.lit(float(LEVEL)), F.col("_level")) * F.lit(float(width))
+    s, e = F.col("r_start_time"), F.col("r_end_time")
+    b = spans.select(*[F.col(c).alias(c if c == key else f"r_{c}") for c in spans.columns]).filter(e >= s).withColumn("_level", _level(s, e, width))
+    levels = F.broadcast(b.select("_level").distinct())
+    b = b.withColumn("_bucket", F.explode(F.sequence(F.floor(s / wide()), F.floor(e / wide()))))
+    a = points.crossJoin(levels).withColumn("_bucket", F.floor(F.col(time) / wide()))
+    return a.join(b, [key, "_level", "_bucket"]).filter(interval.contains_time(s, e, F.col(time))).drop("_bucket", "_level")
 
 
 def clip_to_window(segments: DataFrame, windows: DataFrame, width: float = 60.0) -> DataFrame:
@@ -197,12 +225,17 @@ def continuity_faults(scenes: DataFrame, key: str = "video_id") -> DataFrame:
     return scenes.filter("next_scene_id IS NOT NULL").join(back, [key, "next_scene_id"], "left").filter(~F.col("back").eqNullSafe(F.col("scene_id"))).select(key, "scene_id", "next_scene_id")
 
 
-def state_changes(scenes: DataFrame, attributes: list[str], key: str = "video_id", order: str = "start_time") -> DataFrame:
-    """(key, order, attribute, before, after) where a known attribute differs from the previous scene's."""
-    w = Window.partitionBy(key).orderBy(order)
-    was = scenes.select(key, order, *attributes, *[F.lag(a).over(w).alias(f"_{a}") for a in attributes])
+def state_changes(scenes: DataFrame, attributes: list[str], key: str = "video_id", order: str = "start_time", carry: list[str] | None = None) -> DataFrame:
+    """(key, order, attribute, before, after) where a known attribute differs from the previous scene's.
+
+    Columns that ``carry`` names come along for both scenes, as <name>_a and <name>_b.
+    """
+    w, carry = Window.partitionBy(key).orderBy(order), carry or []
+    beside = [x for c in carry for x in (F.lag(c).over(w).alias(f"{c}_a"), F.col(c).alias(f"{c}_b"))]
+    was = scenes.select(key, order, *attributes, *[F.lag(a).over(w).alias(f"_{a}") for a in attributes], *beside)
     changed = [F.when(F.col(f"_{a}") != F.col(a), F.struct(F.lit(a).alias("attribute"), F.col(f"_{a}").cast("string").alias("before"), F.col(a).cast("string").alias("after"))) for a in attributes]
-    return was.select(key, order, F.explode(F.array_compact(F.array(*changed))).alias("c")).select(key, order, "c.*")
+    sides = [f"{c}_{n}" for c in carry for n in "ab"]
+    return was.select(key, order, F.explode(F.array_compact(F.array(*changed))).alias("c"), *sides).select(key, order, "c.*", *sides)
 
 
 def new_entities(scenes: DataFrame, objects: str = "objects", key: str = "video_id", order: str = "start_time") -> DataFrame:

@@ -69,3 +69,11 @@ def test_continuity_is_mutual(spark):
 def test_evenly_spaced_takes_both_ends(spark):
     frames = spark.createDataFrame([("v", float(i)) for i in range(10)], "video_id string, t double")
     assert sorted(r.t for r in temporal.evenly_spaced(frames, 4).collect()) == [0.0, 3.0, 6.0, 9.0]
+
+
+def test_points_in_intervals_of_any_length(spark):
+    spans = [("v", "far", 0.0, 1e13), ("v", "long", -500.0, 4000.0), ("v", "short", 60.0, 61.0), ("v", "moment", 120.0, 120.0), ("v", "none", 9.0, 8.0), ("u", "other", 0.0, 1e6)]
+    points = [("v", "a", 60.0), ("v", "b", 61.0), ("v", "c", 120.0), ("v", "d", -500.0), ("v", "e", 4000.5), ("v", "f", 1e13), ("u", "g", 8.5)]
+    got = temporal.points_in_intervals(spark.createDataFrame(points, "video_id string, p string, t double"), spark.createDataFrame(spans, EVENTS)).collect()
+    want = sorted((p, i) for v, p, t in points for u, i, s, e in spans if u == v and s <= t <= e)
+    assert sorted((r.p, r.r_event_id) for r in got) == want
