@@ -137,6 +137,35 @@ def test_set_similarity_against_all_pairs(spark):
     assert got == want
 
 
+@pytest.mark.parametrize(("crowd", "together", "sent"), [(32, 1024, 500_000), (2, 3, 500_000), (3, 2, 0)])
+def test_set_similarity_of_near_copies(spark, monkeypatch, crowd, together, sent):
+    import random
+
+    for name, value in (("CROWD", crowd), ("TOGETHER", together), ("SENT", sent)):
+        monkeypatch.setattr(dedup, name, value)
+    rng = random.Random(7)
+    rows = []
+    for group in range(4):
+        base = [f"g{group}w{k}" for k in range(40)] + [f"c{k}" for k in range(10)]
+        for _ in range(14):
+            words = [w for w in base if rng.random() > 0.06] + [f"own{rng.randrange(60)}" for _ in range(rng.randrange(4))]
+            rows.append((len(rows), words, "ab"[len(rows) % 2]))
+        rows.append((len(rows), rows[-1][1], "a"))
+    docs = spark.createDataFrame(rows, "id long, w array<string>, source string")
+    sets = {i: frozenset(w) for i, w, _ in rows}
+    least: dict = {}
+    for i, s in sets.items():
+        least.setdefault(s, i)
+    near = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+    want = {(i, j): near(i, j) for i in least.values() for j in least.values() if i < j and near(i, j) >= 0.8} | {(least[s], i): 1.0 for i, s in sets.items() if least[s] != i}
+    got = dedup.set_similarity_join(docs, "id", "w", 0.8)
+    assert len(want) > 50
+    told = got.collect()
+    assert len(told) == len(want) and {(r.a, r.b): r.similarity for r in told} == want
+    across = dedup.pairs_across(docs, "id", "w", "source", 0.8).collect()
+    assert {(r.a, r.b) for r in across} == {(a, b) for a, b in want if rows[a][2] != rows[b][2]}
+
+
 @pytest.mark.parametrize("few", [1, 2, 32])
 def test_minhash_links_all_near_members_of_a_bucket(spark, few):
     import random
