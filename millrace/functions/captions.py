@@ -67,17 +67,20 @@ def family(movement: Column) -> Column:
     return F.element_at(F.split(movement, "_"), 1)
 
 
-def contradictions(text: Column) -> Column:
-    """Claims of one text that cannot all hold: two directions of a family, or static and moving."""
-    said = movements(text)
+def contradictions(text: Column, said: Column | None = None) -> Column:
+    """Claims of one text that cannot all hold: two directions of a family, or static and moving.
+
+    ``said``: its ``movements``, where they are a column already, so that no pattern is looked for again.
+    """
+    said = movements(text) if said is None else said
     has = lambda m: F.array_contains(said, m)
     both = [(has(a) & has(b), f"{a.split('_')[0]}_in_two_directions") for a, b in (("pan_left", "pan_right"), ("tilt_up", "tilt_down"), ("zoom_in", "zoom_out"))]
     return reasons(*both, (has("static") & (F.size(said) > 1), "static_and_moving"))
 
 
-def camera_conflicts(text: Column, movement: Column) -> Column:
-    """(hard, soft) ways in which a caption disagrees with the camera field."""
-    said = movements(text)
+def camera_conflicts(text: Column, movement: Column, said: Column | None = None) -> Column:
+    """(hard, soft) ways in which a caption disagrees with the camera field; ``said`` as in ``contradictions``."""
+    said = movements(text) if said is None else said
     own, known = family(movement), F.coalesce(movement, F.lit("unknown")) != "unknown"
     opposite = F.exists(said, lambda m: (family(m) == own) & (m != movement) & (own != "static"))
     static_said, moving_said = F.array_contains(said, "static"), F.exists(said, lambda m: m != "static")

@@ -174,8 +174,12 @@ def _said():
 @query(f"SELECT {_K}, CASE l_linenumber WHEN 1 THEN 'pan_left' WHEN 2 THEN 'pan_left,pan_right' WHEN 3 THEN 'zoom_in,static' WHEN 4 THEN 'tilt_up' ELSE '' END AS moves, CASE l_linenumber WHEN 2 THEN 'pan_in_two_directions' WHEN 3 THEN 'static_and_moving' ELSE '' END AS contradictions, CASE WHEN l_returnflag = 'A' THEN CASE l_linenumber WHEN 2 THEN 'opposite_direction' WHEN 3 THEN 'said_static' ELSE '' END WHEN l_returnflag = 'N' THEN CASE WHEN l_linenumber <= 4 THEN 'said_moving' ELSE '' END ELSE '' END AS hard FROM lineitem")
 def caption_conflicts(spark, sf_dir):
     label = F.when(F.col("l_returnflag") == "A", F.lit("pan_left")).when(F.col("l_returnflag") == "N", F.lit("static"))
-    told = captions.camera_conflicts(_said(), label)
-    return _lines(spark, sf_dir).select(*KEY, F.array_join(captions.movements(_said()), ",").alias("moves"), F.array_join(captions.contradictions(_said()), ",").alias("contradictions"), F.array_join(told["hard"], ",").alias("hard"))
+    said, text_ = F.col("_said"), F.col("_text")
+    # Each caption is looked through once; an explode keeps the planner from putting the patterns into every use.
+    lines = _lines(spark, sf_dir).select(*KEY, _said().alias("_text"), label.alias("_label"))
+    looked = lines.select("*", F.explode(F.array(captions.movements(text_))).alias("_said"))
+    hard = captions.camera_conflicts(text_, F.col("_label"), said)["hard"]
+    return looked.select(*KEY, F.array_join(said, ",").alias("moves"), F.array_join(captions.contradictions(text_, said), ",").alias("contradictions"), F.array_join(hard, ",").alias("hard"))
 
 
 @query("WITH q AS (SELECT conv_id, turn, CASE turn % 5 WHEN 0 THEN 'What happens next to the car?' WHEN 1 THEN 'car moves?' WHEN 2 THEN 'Is this right? Is it?' WHEN 3 THEN '' ELSE 'The car moves on and on' END AS q, CASE turn % 5 WHEN 0 THEN 'About 5 seconds' WHEN 1 THEN 'First a, then b.' WHEN 2 THEN '' WHEN 3 THEN 'Around 1:05' ELSE 'soon' END AS a FROM conversations) SELECT conv_id, turn, CASE turn % 5 WHEN 0 THEN '' WHEN 1 THEN 'no_interrogative,too_short' WHEN 2 THEN 'more_than_one_question_mark' WHEN 3 THEN 'empty' ELSE 'no_interrogative,no_question_mark' END AS form, CASE turn % 5 WHEN 0 THEN '' WHEN 1 THEN 'no_duration' WHEN 2 THEN 'empty' WHEN 3 THEN 'no_duration' ELSE 'no_duration' END AS answer FROM q")

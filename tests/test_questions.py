@@ -83,3 +83,10 @@ def test_timestamps_name_all_that_is_active(spark):
     events = spark.createDataFrame([("v", f"e{i}", float(i), 100.0 - i, f"thing {i}") for i in range(7)], "video_id string, event_id string, start_time double, end_time double, event string")
     got = {r.answer: (r.event_ids, r.start_time, r.end_time) for r in questions.timestamps(events).collect()}
     assert got == {" ".join(f"Thing {i}." for i in range(7)): ([f"e{i}" for i in range(7)], 0.0, 100.0)}
+
+
+def test_conflicts_look_through_a_caption_once(spark):
+    from millrace.plans import QUERIES
+
+    plan = QUERIES["caption_conflicts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(captions.MOVEMENTS["tilt_up"]) == 1
