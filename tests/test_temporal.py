@@ -77,3 +77,13 @@ def test_points_in_intervals_of_any_length(spark):
     got = temporal.points_in_intervals(spark.createDataFrame(points, "video_id string, p string, t double"), spark.createDataFrame(spans, EVENTS)).collect()
     want = sorted((p, i) for v, p, t in points for u, i, s, e in spans if u == v and s <= t <= e)
     assert sorted((r.p, r.r_event_id) for r in got) == want
+
+
+def test_scans_are_dealt_by_their_size(spark, monkeypatch):
+    from millrace import runtime
+
+    frame = runtime.read(spark, "/root/testdata/sf0.001", "lineitem")
+    assert runtime.dealt(frame, "l_orderkey") is frame
+    monkeypatch.setattr(runtime, "SCAN_BYTES", 10_000)
+    many = runtime.dealt(frame, "l_orderkey")
+    assert many.rdd.getNumPartitions() > 8 and many.count() == frame.count()
