@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import durable, shuffle_width
+
 from ..functions.reasons import first_reason, reasons
 
 #: What an evidence file may say, and what is exported without and with a note.
@@ -98,6 +100,10 @@ def picked(key: Column, names: list[str], n: int) -> Column:
     return F.array(*[F.get(table, (start + i) % len(names)) for i in range(k)])
 
 
+#: Batches whose steps are summed in one task.
+SUMMED = 100_000
+
+
 def drawn_batches(records: DataFrame, task: str, key: str, weights: dict[str, float], sizes: dict[str, int], seed: str = "1") -> DataFrame:
     """Records with ``batch`` and ``turn``: each task's records in order of a hash, cut to batches, and all batches in a weighted order.
 
@@ -106,13 +112,35 @@ def drawn_batches(records: DataFrame, task: str, key: str, weights: dict[str, fl
     """
     known = records.filter(F.col(task).isin(*weights))
     lookup = lambda table: F.create_map(*[x for k, v in table.items() for x in (F.lit(k), F.lit(v))])[F.col(task)]
-    order = Window.partitionBy(task).orderBy(F.sha1(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string"))), key)
-    cut = known.withColumn("batch", F.floor((F.row_number().over(order) - 1) / lookup({t: sizes.get(t, 1) for t in weights})))
+    hashed = F.sha1(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
+    sorted_ = numbered(known.withColumn("_h", hashed), [task, "_h", key], "_rank")
+    first = {row[task]: row["n"] for row in sorted_.groupBy(task).agg(F.min("_rank").alias("n")).collect()}
+    own = F.col("_rank") - lookup({t: first.get(t, 0) for t in weights})
+    size = lookup({t: sizes.get(t, 1) for t in weights})
+    cut = sorted_.withColumn("_own", own).withColumn("batch", F.floor(F.col("_own") / size))
     u = (F.conv(F.substring(F.sha1(F.concat_ws("|", F.lit(seed), F.col(task), F.col("batch").cast("string"))), 1, 12), 16, 10).cast("bigint") + 1) / F.lit(float(16**12) + 1)
-    each = cut.select(task, "batch").distinct().withColumn("_step", -F.log(u) / lookup(weights))
-    arrival = F.sum("_step").over(Window.partitionBy(task).orderBy("batch"))
-    turns = each.withColumn("_at", arrival).withColumn("_all", F.lit(1)).withColumn("turn", F.row_number().over(Window.partitionBy("_all").orderBy("_at", task))).select(task, "batch", "turn")
-    return cut.join(turns, [task, "batch"])
+    each = cut.filter(F.col("_own") % size == 0).select(task, "batch", F.floor(F.col("batch") / SUMMED).alias("_part"), (-F.log(u) / lookup(weights)).alias("_step"))
+    # Arrivals are sums over runs of batches, onto the sum of the runs before.
+    runs = each.groupBy(task, "_part").agg(F.sum("_step").alias("_sum"))
+    before = Window.partitionBy(task).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(task, "_part").orderBy("batch")
+    arrival = each.withColumn("_in", F.sum("_step").over(inside)).join(runs.withColumn("_base", F.coalesce(F.sum("_sum").over(before), F.lit(0.0))).drop("_sum"), [task, "_part"])
+    turns = numbered(arrival.select(task, "batch", (F.col("_base") + F.col("_in")).alias("_at")), ["_at", task], "turn")
+    return cut.drop("_h", "_rank", "_own").join(turns.select(task, "batch", (F.col("turn") + 1).alias("turn")), [task, "batch"])
+
+
+def numbered(records: DataFrame, by: list[str], name: str) -> DataFrame:
+    """Records with their place, from 0, in the order of ``by``: sorted in ranges, so that no task holds all of them."""
+    spark = records.sparkSession
+    ranges = max(shuffle_width(spark), spark.sparkContext.defaultParallelism)
+    kept = durable(records.repartitionByRange(ranges, *by).sortWithinPartitions(*by))
+    at = F.monotonically_increasing_id()
+    told = kept.withColumn("_range", F.shiftright(at, 33)).withColumn(name, at.bitwiseAND(F.lit((1 << 33) - 1)))
+    base, upto = {}, 0
+    for row in sorted(told.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda row: row["_range"]):
+        base[row["_range"]], upto = upto, upto + row["n"]
+    start = F.create_map(*[F.lit(x).cast("bigint") for pair in base.items() for x in pair])[F.col("_range")] if base else F.lit(0).cast("bigint")
+    return told.withColumn(name, F.col(name) + start).drop("_range")
 
 
 def rights_block(status: Column, licence: Column, evidence: Column) -> Column:

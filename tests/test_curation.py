@@ -245,3 +245,29 @@ def test_ingest_and_job_states(spark):
     events = spark.createDataFrame([("x", 1, "acquired"), ("x", 2, "failed"), ("y", 1, "failed"), ("y", 2, "acquired")], "source_id string, seq int, state string")
     jobs = spark.createDataFrame([("x",), ("y",), ("z",)], "source_id string")
     assert {r.source_id: (r.state, r.error) for r in incremental.advance(jobs, events).collect()} == {"x": ("acquired", "failed"), "y": ("acquired", None), "z": ("registered", None)}
+
+
+def test_batches_are_numbered_across_ranges(spark):
+    from millrace.operators import factory
+
+    rows = spark.createDataFrame([(i % 37, i) for i in range(300)], "k long, id long").repartition(7)
+    got = {r.id: r.place for r in factory.numbered(rows, ["k", "id"], "place").collect()}
+    assert got == {i: n for n, (_, i) in enumerate(sorted((i % 37, i) for i in range(300)))}
+    assert factory.numbered(rows.limit(0), ["k"], "place").count() == 0
+    drawn = factory.drawn_batches(rows.select(F.lit("t").alias("task"), "id"), "task", "id", {"t": 1.0}, {"t": 7})
+    plan = drawn._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan and sorted({r.turn for r in drawn.collect()}) == list(range(1, 44))
+
+
+def test_words_of_lookalikes_are_made_once(spark):
+    from millrace.plans import QUERIES
+
+    plan = QUERIES["lookalike_counts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    made = [line for line in plan.splitlines() if "regexp_replace" in line]
+    assert made and all("Generate" in line or "Project" in line and "transform" not in line for line in made)
+
+
+def test_cosine_blocks_are_few(spark):
+    rows = spark.createDataFrame([(i, [float((i * 7 + k * k) % 11 - 5) for k in range(4)]) for i in range(1500)], "id long, v array<double>")
+    plan = dedup.cosine_pairs(rows, "id", "v", 0.999)
+    assert {(r.a, r.b) for r in plan.select("a", "b").distinct().collect()} == {(r.a, r.b) for r in dedup.cosine_pairs(rows, "id", "v", 0.999, block=100).collect()}
